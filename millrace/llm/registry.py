@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, shared, token_counts, token_ids
+from . import decontaminate, packing, preference, quality, shared, token_counts, token_ids, url_filter
 from .encoder import tokenizer_path
 
 
@@ -17,11 +17,19 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = packing.pieces(shared.table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1)
     return packing.pack(spark, table)
 
 
+def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.format_pairs(preference.neighbours(shared.table(spark, sf_dir, "conversations")))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(spark, shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
 
@@ -32,6 +40,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op3_packing, op5_decontamination, op8_token_counts)}
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = shared.table(spark, sf_dir, "pages")
+    return url_filter.judge(spark, pages, url_filter.labels_of_pages(pages, shared.table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op8_token_counts, op10_url_filter)}
 
 ORACLES: dict[str, str] = {}
