@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, preference, quality, shared, token_counts, token_ids, url_filter
+from . import decontaminate, near_dedup, packing, preference, quality, shared, token_counts, token_ids, url_filter
 from .encoder import tokenizer_path
 
 
@@ -40,11 +40,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(spark, shared.table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = shared.table(spark, sf_dir, "pages")
     return url_filter.judge(spark, pages, url_filter.labels_of_pages(pages, shared.table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op8_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op8_token_counts, op9_near_dedup, op10_url_filter)}
 
 ORACLES: dict[str, str] = {}
