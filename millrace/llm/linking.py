@@ -60,6 +60,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
 def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """(node, comp) of every node with a verified link. keys: (key, node); signatures: (node, further columns);
     near(a, b): the condition on two signatures under these aliases; verify(pairs of a and b, name): those that link."""
+    keys = keys.repartition("key")  # one shuffle for the sizes and for the members
     sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node")).alias("by_hash")).filter("lo != hi")
     met = scratch.save(keys.join(sizes, "key").join(signatures, "node"), "met")
     leaders = F.array_distinct(F.array("lo", "hi", "by_hash"))
