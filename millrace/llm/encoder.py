@@ -9,11 +9,12 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
 _BATCH_CHARS = 2_000_000
+_MARKS = frozenset(".,;:!?")
 _loaded: dict[str, ChunkEncoder] = {}
 
 
@@ -36,13 +37,14 @@ class ChunkEncoder:
     _MARKS = re.compile("[\x00\x01\x1c-\x1f]")
     _CHUNKS = re.compile(r"\s*\S+|\s+")
 
-    def __init__(self, path: str, max_chunks: int = 700_000):
+    def __init__(self, path: str, max_chunks: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.max_chunks = Tokenizer.from_file(path), max_chunks
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.lower = False
         self.added = [x["content"] for x in spec.get("added_tokens") or []]
         before, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
         parts = before.get("pretokenizers") or []
@@ -50,6 +52,7 @@ class ChunkEncoder:
             self.kind = "spaced"  # a blank belongs to the word that follows
         elif parts and parts[0].get("type") == "Split" and parts[0].get("behavior") == "Removed" and parts[0].get("invert"):
             self.kind = "words"  # white space is dropped
+            self.lower = any(x.get("type") == "Lowercase" for x in (normal or {}).get("normalizers") or [normal or {}])
         else:
             self.kind = "whole"
         self._clear()
@@ -69,7 +72,7 @@ class ChunkEncoder:
         if not plain and self._MARKS.search(text) or words and ("\x00" in text or "\x01" in text):
             return ["\x01" + text]
         if self.kind == "words":
-            return words
+            return text.lower().split() if self.lower and text.isascii() else words
         if not plain:
             return ["\x00" + x for x in self._CHUNKS.findall(text)]
         if not words:
@@ -84,10 +87,22 @@ class ChunkEncoder:
         return key if self.kind == "words" or key[:1] == "\n" else " " + key
 
     def _learn(self, keys: list[str]) -> None:
-        found = self.library.encode_batch_fast([self._text(k) for k in keys], add_special_tokens=False)
-        ids = [x.ids for x in found]
+        """Adds keys. Letters and a mark after them are split before any merge, so such a chunk is made of the two."""
+        if self.kind == "whole":
+            ids = self._library(keys)
+        else:
+            bodies = [k[:-1] if k[-1:] in _MARKS and k[:-1].isalpha() and max(k) < "\u0250" else None for k in keys]
+            marks = {k[-1] for k, b in zip(keys, bodies, strict=True) if b}
+            wanted = [k for k, b in zip(keys, bodies, strict=True) if not b]
+            wanted = list(dict.fromkeys(wanted + [b for b in bodies if b and b not in self.slots]))
+            own = dict(zip(wanted, self._library(wanted), strict=True))
+            alone = {m: self.library.encode(m, add_special_tokens=False).ids for m in marks}
+            ids = [own[k] if not b else (own[b] if b in own else self._known(b)) + alone[k[-1]] for k, b in zip(keys, bodies, strict=True)]
+            asked = set(keys)
+            more = [b for b in wanted if b not in asked]
+            keys, ids = keys + more, ids + [own[b] for b in more]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((y for x in ids for y in x), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         while self.used + len(ids) > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while self.filled + len(flat) > len(self.flat):
@@ -99,6 +114,13 @@ class ChunkEncoder:
         self.slots.update(zip(keys, range(self.used, self.used + len(ids)), strict=True))
         self.used, self.filled = self.used + len(ids), self.filled + len(flat)
 
+    def _known(self, key: str) -> list[int]:
+        slot = self.slots[key]
+        return self.flat[self.starts[slot] : self.starts[slot] + self.lengths[slot]].tolist()
+
+    def _library(self, keys: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast([self._text(k) for k in keys], add_special_tokens=False)]
+
     def encode(self, texts: list[str]):
         """Yields (first, last, ids, bounds) for runs of texts: ids of texts first..last-1, text i's between
         bounds[i - first] and bounds[i - first + 1]."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, near_dedup, packing, preference, quality, shared, token_counts, token_ids, url_filter
+from . import decontaminate, line_dedup, near_dedup, packing, preference, quality, shared, suffix_tree_lm, token_counts, token_ids, url_filter
 from .encoder import tokenizer_path
 
 
@@ -34,6 +34,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(spark, shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score(spark, shared.table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(spark, shared.table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark, pages, url_filter.labels_of_pages(pages, shared.table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op7_line_dedup, op8_token_counts, op9_near_dedup, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op6_suffix_tree, op7_line_dedup, op8_token_counts, op9_near_dedup, op10_url_filter)}
 
 ORACLES: dict[str, str] = {}

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import encoder, shared, simple8b
+from . import encoder, linking, shared, simple8b
 
 ROW_IDS = 32_768
 FORMAT = "shard int, first long, n_ids long, doc_ids array<bigint>, doc_counts array<bigint>, words binary, offsets array<int>"
@@ -74,7 +74,7 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(FORMAT).parquet(path)
     shards = rows.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(shards.select("shard", before.alias("before")), "shard")
+    return rows.join(linking.small(shards.select("shard", before.alias("before"))), "shard")
 
 
 def _decoded(batch):
