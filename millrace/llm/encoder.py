@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain, repeat
+import unicodedata
+from itertools import repeat
 
 import numpy as np
 
 _BATCH_CHARS = 2_000_000
-_MARKS = frozenset(".,;:!?")
+_RUN = 256
 _loaded: dict[str, ChunkEncoder] = {}
 
 
@@ -55,6 +56,10 @@ class ChunkEncoder:
             self.lower = any(x.get("type") == "Lowercase" for x in (normal or {}).get("normalizers") or [normal or {}])
         else:
             self.kind = "whole"
+        vocabulary = self.library.get_vocab()
+        self.widths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # bytes of each token
+        for token, i in vocabulary.items():
+            self.widths[i] = len(token.removesuffix("</w>"))
         self._clear()
 
     def _clear(self) -> None:
@@ -87,39 +92,53 @@ class ChunkEncoder:
         return key if self.kind == "words" or key[:1] == "\n" else " " + key
 
     def _learn(self, keys: list[str]) -> None:
-        """Adds keys. Letters and a mark after them are split before any merge, so such a chunk is made of the two."""
-        if self.kind == "whole":
-            ids = self._library(keys)
-        else:
-            bodies = [k[:-1] if k[-1:] in _MARKS and k[:-1].isalpha() and max(k) < "\u0250" else None for k in keys]
-            marks = {k[-1] for k, b in zip(keys, bodies, strict=True) if b}
-            wanted = [k for k, b in zip(keys, bodies, strict=True) if not b]
-            wanted = list(dict.fromkeys(wanted + [b for b in bodies if b and b not in self.slots]))
-            own = dict(zip(wanted, self._library(wanted), strict=True))
-            alone = {m: self.library.encode(m, add_special_tokens=False).ids for m in marks}
-            ids = [own[k] if not b else (own[b] if b in own else self._known(b)) + alone[k[-1]] for k, b in zip(keys, bodies, strict=True)]
-            asked = set(keys)
-            more = [b for b in wanted if b not in asked]
-            keys, ids = keys + more, ids + [own[b] for b in more]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        while self.used + len(ids) > len(self.starts):
+        keys, flat, sizes = self._library(keys)
+        while self.used + len(keys) > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while self.filled + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        span = slice(self.used, self.used + len(ids))
+        span = slice(self.used, self.used + len(keys))
         self.lengths[span] = sizes
         self.starts[span] = self.filled + np.cumsum(sizes) - sizes
         self.flat[self.filled : self.filled + len(flat)] = flat
-        self.slots.update(zip(keys, range(self.used, self.used + len(ids)), strict=True))
-        self.used, self.filled = self.used + len(ids), self.filled + len(flat)
-
-    def _known(self, key: str) -> list[int]:
-        slot = self.slots[key]
-        return self.flat[self.starts[slot] : self.starts[slot] + self.lengths[slot]].tolist()
-
-    def _library(self, keys: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast([self._text(k) for k in keys], add_special_tokens=False)]
+        self.slots.update(zip(keys, range(self.used, self.used + len(keys)), strict=True))
+        self.used, self.filled = self.used + len(keys), self.filled + len(flat)
+
+    def _library(self, keys: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The keys in a new order, the ids of their chunks in turn, and how many each has. Chunks that may stand side by side are encoded in
+        runs, since a call for each costs as much as the merges; the bytes of their tokens tell where each ends."""
+        texts = list(map(self._text, keys))
+        widths = list(map(self._joinable, keys, texts))
+        side = [i for i, x in enumerate(widths) if x]
+        runs = [side[i : i + _RUN] for i in range(0, len(side), _RUN)]
+        alone = [i for i, x in enumerate(widths) if not x]
+        blank = " " if self.kind == "words" else ""
+        order, flat, sizes = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        found = self.library.encode_batch_fast([blank.join([texts[i] for i in run]) for run in runs], add_special_tokens=False) if runs else []
+        for run, x in zip(runs, found, strict=True):
+            ids = np.array(x.ids, np.uint32)
+            ends = np.cumsum(self.widths[ids])
+            last = np.cumsum([widths[i] for i in run])
+            at = np.searchsorted(ends, last) + 1
+            if len(ids) and at[-1] == len(ids) and (ends[at - 1] == last).all():
+                order += run
+                flat.append(ids)
+                sizes.append(np.diff(at, prepend=0))
+            else:
+                alone += run
+        for i, x in zip(alone, self.library.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False) if alone else [], strict=True):
+            order.append(i)
+            flat.append(np.array(x.ids, np.uint32))
+            sizes.append(np.array([len(flat[-1])], np.int64))
+        return [keys[i] for i in order], np.concatenate(flat), np.concatenate(sizes)
+
+    def _joinable(self, key: str, text: str) -> int:
+        """The bytes of the chunk's tokens if others may stand before and after it, else 0."""
+        if not text or key[:1] == "\x01" or self.kind == "whole" or text[-1].isspace():
+            return 0
+        if self.kind == "words":
+            return len(text) if text.isascii() else len(unicodedata.normalize("NFC", text).lower().encode())
+        return len(text.encode()) if text[0] in " \n" else 0
 
     def encode(self, texts: list[str]):
         """Yields (first, last, ids, bounds) for runs of texts: ids of texts first..last-1, text i's between
