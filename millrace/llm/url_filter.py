@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shared
+
 #: (verdict, host, path) of the given rules.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 DEPTH, MIN_CHILDREN, MAX_SHARE, Z, STRENGTH, REJECT = 6, 8, 0.05, 1.96, 8.0, 0.5
@@ -39,12 +41,12 @@ def matched(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def templates(paths: DataFrame, depth: int = DEPTH, min_children: int = MIN_CHILDREN, max_share: float = MAX_SHARE) -> DataFrame:
+def templates(scratch: shared.Scratch, paths: DataFrame, depth: int = DEPTH, min_children: int = MIN_CHILDREN, max_share: float = MAX_SHARE) -> DataFrame:
     """paths (host, path, n, labelled, bad) with t0 .. t<depth>: the node of each level, null below the last segment."""
     segments = F.split(F.expr("substring(path, 2)"), "/", depth)
     out = paths.withColumn("_s", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments)).withColumn("t0", F.col("host"))
     for k in range(depth):
-        out = out.withColumn("_x", F.get("_s", F.lit(k)))
+        out = scratch.save(out.withColumn("_x", F.get("_s", F.lit(k))), f"level{k}")  # a table for each level keeps plans short
         child = out.filter(F.col("_x").isNotNull()).groupBy(F.col(f"t{k}").alias("_t"), F.col("_x").alias("_y")).agg(F.sum("n").alias("_n"))
         node = child.groupBy("_t").agg(F.count("*").alias("_c"), F.sum("_n").alias("_all"))
         wild = child.join(node, "_t").select("_t", "_y", ((F.col("_c") >= min_children) & (F.col("_n") <= max_share * F.col("_all"))).alias("_wild"))
@@ -59,10 +61,11 @@ def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int =
     labels: page_id, bad (boolean); its repeated rows count each."""
     told = labels.filter(F.col("page_id").isNotNull() & F.col("bad").isNotNull()).groupBy("page_id").agg(F.count("*").alias("l"), F.sum(F.col("bad").cast("long")).alias("b"))
     paths = pages.join(told, "page_id", "left").groupBy("host", "path").agg(F.count("*").alias("n"), F.coalesce(F.sum("l"), F.lit(0)).alias("labelled"), F.coalesce(F.sum("b"), F.lit(0)).alias("bad"))
-    held = templates(paths, depth, **more)
+    scratch = shared.Scratch(spark, "url-tree")
+    held = templates(scratch, paths, depth, **more)
     levels = F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"t{k}").alias("t"), (F.col(f"t{k - 1}") if k else F.lit("")).alias("up")) for k in range(depth + 1)))
-    walks = held.select("host", "path", "labelled", "bad", F.explode(F.filter(levels, lambda x: x["t"].isNotNull())).alias("v")).select("host", "path", "labelled", "bad", "v.*")
-    nodes = walks.groupBy("k", "t", "up").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    walks = scratch.save(held.select("host", "path", "labelled", "bad", F.explode(F.filter(levels, lambda x: x["t"].isNotNull())).alias("v")).select("host", "path", "labelled", "bad", "v.*"), "walks")
+    nodes = scratch.save(walks.groupBy("k", "t", "up").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")), "nodes")
     all_ = nodes.filter("k = 0").agg(F.sum("n").alias("_gn"), F.sum("b").alias("_gb"))
     upper = nodes.select((F.col("k") + 1).alias("k"), F.col("t").alias("up"), F.col("n").alias("un"), F.col("b").alias("ub"))
     beside = nodes.join(upper, ["k", "up"], "left").crossJoin(F.broadcast(all_))  # one row of totals
@@ -72,7 +75,11 @@ def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int =
     prior = F.col("_gb") / F.greatest(F.col("_gn"), F.lit(1))
     kept = beside.filter((F.col("k") == 0) | (F.col("n") > 0) & far).select("k", "t", F.col("n").alias("_n"), F.col("b").alias("_b"), ((F.col("b") + strength * prior) / (F.col("n") + strength)).alias("_purity"))
     deepest = walks.select("host", "path", "k", "t").join(kept, ["k", "t"]).groupBy("host", "path").agg(F.max(F.struct("k", "t", "_n", "_b", "_purity")).alias("v"))
-    return deepest.select("host", "path", F.col("v.t").alias("template"), F.col("v._n").alias("labelled"), F.col("v._b").alias("bad"), F.round("v._purity", 12).alias("purity"), (F.col("v._n") > 0).__and__(F.col("v._purity") >= reject).alias("rejected"))
+    found = deepest.select("host", "path", F.col("v.t").alias("template"), F.col("v._n").alias("labelled"), F.col("v._b").alias("bad"), F.round("v._purity", 12).alias("purity"), ((F.col("v._n") > 0) & (F.col("v._purity") >= reject)).alias("rejected"))
+    found = scratch.save(found, "templates")
+    for name in (*(f"level{k}" for k in range(depth)), "walks", "nodes"):
+        scratch.drop(name)
+    return found
 
 
 def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules=RULES, **more) -> DataFrame:
