@@ -1,4 +1,6 @@
 """Registered queries over the test tables, and the SQL that must agree with them."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import points, records
+
+QUERIES: dict = {**points.QUERIES, **records.QUERIES}
+ORACLES: dict = {**points.ORACLES, **records.ORACLES}
