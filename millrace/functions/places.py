@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import fold, text, title_tr
+from .text import fold, let, text, title_tr
 
 # The provinces in the order of their plate codes, and short or old names.
 PROVINCES = (
@@ -57,37 +57,47 @@ def plate(c: Column) -> Column:
 
 def resolve_province(c: Column) -> Column:
     """The province of a cell: exact, alias, first words; else the cell in title case."""
-    f = fold(c)
-    first = F.array(*(F.lit(k) for k in BY_KEY))
-    begins = F.filter(first, lambda k: F.startswith(f, F.concat(k, F.lit(" "))))[0]
     names = _map(BY_KEY | {k: v for k, v in ALIASES.items() if k not in BY_KEY})
-    return F.when(f == "", "").otherwise(F.coalesce(F.try_element_at(names, f), F.try_element_at(names, begins), title_tr(c)))
+
+    def told(f: Column) -> Column:
+        begins = F.filter(F.array(*(F.lit(k) for k in BY_KEY)), lambda k: F.startswith(f, F.concat(k, F.lit(" "))))[0]
+        return F.when(f == "", "").otherwise(F.coalesce(F.try_element_at(names, f), F.try_element_at(names, begins), title_tr(c)))
+
+    return let(fold(c), told)
 
 
 def split_place(c: Column) -> Column:
     """(il, ilce) of a combined cell in either order; of several other parts the last is the district."""
     parts = F.filter(F.split(text(c), r"[/\-–,|]"), lambda p: F.trim(p) != "")
-    shown = F.transform(parts, lambda p: F.struct(resolve_province(p).alias("il"), is_province(resolve_province(p)).alias("ok"), title_tr(p).alias("t")))
+    shown = F.transform(parts, lambda p: let(resolve_province(p), lambda r: F.struct(r.alias("il"), is_province(r).alias("ok"), title_tr(p).alias("t"))))
 
     def step(a: Column, x: Column) -> Column:
         takes = x["ok"] & (a["il"] == "")
         return F.struct(F.when(takes, x["il"]).otherwise(a["il"]).alias("il"), F.when(takes, a["ilce"]).otherwise(x["t"]).alias("ilce"))
 
-    both = F.aggregate(shown, F.struct(F.lit("").alias("il"), F.lit("").alias("ilce")), step)
-    alone = F.size(parts) == 1
-    last = F.when(F.size(shown) > 0, F.element_at(shown, -1)["t"]).otherwise("")
-    return F.when((both["il"] != "") | alone | (F.size(parts) == 0), both).otherwise(F.struct(shown[0]["il"].alias("il"), last.alias("ilce")))
+    def put(shown: Column) -> Column:
+        return let(F.aggregate(shown, F.struct(F.lit("").alias("il"), F.lit("").alias("ilce")), step), lambda both: chosen(shown, both))
+
+    def chosen(shown: Column, both: Column) -> Column:
+        plain = (both["il"] != "") | (F.size(shown) <= 1)
+        return F.when(plain, both).otherwise(F.struct(shown[0]["il"].alias("il"), F.element_at(shown, -1)["t"].alias("ilce")))
+
+    return let(shown, put)
 
 
 def province_in_text(c: Column) -> Column:
     """The longest province named in free text, the first of equals; a name before a road word is a street."""
-    f = F.concat(F.lit(" "), fold(c), F.lit(" "))
     roads = "|".join(ROAD_WORDS)
-    found = F.filter(F.array(*(F.struct(F.lit(-len(k)).alias("n"), F.lit(i).alias("i"), F.lit(p).alias("p"), F.lit(k).alias("k")) for i, (k, p) in enumerate(BY_KEY.items()))), lambda x: F.regexp_like(f, F.concat(F.lit("(?<= )"), x["k"], F.lit(f"(?= )(?! (?:[a-z0-9]+ )?(?:{roads})\\b)"))))
-    alias = F.lit("")
-    for k, p in reversed(ALIASES.items()):
-        alias = F.when(F.contains(f, F.lit(f" {k} ")), p).otherwise(alias)
-    return F.coalesce(F.array_min(found)["p"], alias)
+    keys = F.array(*(F.struct(F.lit(-len(k)).alias("n"), F.lit(i).alias("i"), F.lit(p).alias("p"), F.lit(k).alias("k")) for i, (k, p) in enumerate(BY_KEY.items())))
+
+    def told(f: Column) -> Column:
+        found = F.filter(keys, lambda x: F.contains(f, F.concat(F.lit(" "), x["k"], F.lit(" "))) & F.regexp_like(f, F.concat(F.lit("(?<= )"), x["k"], F.lit(f"(?= )(?! (?:[a-z0-9]+ )?(?:{roads})\\b)"))))
+        alias = F.lit("")
+        for k, p in reversed(ALIASES.items()):
+            alias = F.when(F.contains(f, F.lit(f" {k} ")), p).otherwise(alias)
+        return F.coalesce(F.array_min(found)["p"], alias)
+
+    return let(F.concat(F.lit(" "), fold(c), F.lit(" ")), told)
 
 
 def district_in_text(records: DataFrame, districts: DataFrame, address: str = "adres", province: str = "il") -> DataFrame:

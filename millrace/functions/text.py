@@ -19,6 +19,11 @@ def text(c: Column | str) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value written and computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tr_lower(c: Column) -> Column:
     return F.lower(F.translate(text(c), UPPER, LOWER))
 
@@ -29,10 +34,13 @@ def tr_upper(c: Column) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """UTF-8 that was read as Latin-1, if the repair is valid and brings Turkish letters."""
-    c = text(c)
-    raw = F.encode(F.when(c.rlike(r"^[\x00-\xFF]*$"), c), "ISO-8859-1")
-    fixed = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
-    return F.when(c.rlike(f"[{MOJIBAKE}]") & fixed.rlike(f"[{TURKISH}]"), fixed).otherwise(c)
+
+    def repaired(x: Column) -> Column:
+        raw = F.encode(x, "ISO-8859-1").cast("string")
+        ok = lambda y: F.when(F.is_valid_utf8(y) & y.rlike(f"[{TURKISH}]"), y).otherwise(x)
+        return F.when(x.rlike(f"[{MOJIBAKE}]") & x.rlike(r"^[\x00-\xFF]*$"), let(raw, ok)).otherwise(x)
+
+    return let(text(c), repaired)
 
 
 def repair_latin5(c: Column) -> Column:
@@ -62,19 +70,22 @@ ENTITIES = (("&nbsp;", " "), ("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("
 
 def unescape(c: Column) -> Column:
     """Character references: the named ones above and decimal or hexadecimal numbers."""
-    out = F.regexp_replace(text(c), "&#[xX]([0-9a-fA-F]{1,6});", "&#x$1;")
-    pieces = F.split(out, "&#")
 
     def piece(x: Column, i: Column) -> Column:
-        number = F.regexp_extract(x, "^([0-9]{1,7}|x[0-9a-fA-F]{1,6});?", 1)
-        rest = F.regexp_replace(x, "^(?:[0-9]{1,7}|x[0-9a-fA-F]{1,6});?", "")
-        code = F.when(number.startswith("x"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("int")
-        # a code point as UTF-32 in big-endian bytes
-        shown = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        return F.when(i == 0, x).when(F.coalesce(valid, F.lit(False)), F.concat(shown, rest)).otherwise(F.concat(F.lit("&#"), x))
-
-    out = F.when(F.instr(out, "&#") > 0, F.array_join(F.transform(pieces, piece), "")).otherwise(out)
+        number = F.regexp_extract(x, "^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", 1)
+        rest = F.regexp_replace(x, "^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", "")
+        code = F.when(F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("int")
+
+        def shown(k: Column) -> Column:  # a code point as UTF-32 in big-endian bytes
+            valid = F.coalesce((k > 0) & (k < 0x110000) & ~k.between(0xD800, 0xDFFF), F.lit(False))
+            return F.when(valid, F.concat(F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32"), rest)).otherwise(F.concat(F.lit("&#"), x))
+
+        return F.when(i == 0, x).otherwise(let(code, shown))
+
+    def numbers(x: Column) -> Column:
+        return F.when(F.instr(x, "&#") > 0, F.array_join(F.transform(F.split(x, "&#"), piece), "")).otherwise(x)
+
+    out = let(text(c), numbers)
     for name, letter in ENTITIES:
         out = F.replace(out, F.lit(name), F.lit(letter))
     return out
@@ -101,28 +112,34 @@ def digits(c: Column) -> Column:
 
 def first_number(c: Column) -> Column:
     """The first of several phone numbers in one cell, glued ones cut by length."""
-    c = text(c)
-    part = F.trim(F.split(c, r"(?iu)[-/,;]|\bve\b|\bveya\b")[0])
-    d = digits(c)
-    n = F.length(d)
-    out = F.when(F.length(digits(part)).between(10, 13), part)
-    for size in (12, 11, 10):
-        out = out.when((n >= 2 * size - 2) & (n % size == 0), F.substring(d, 1, size))
-    return out.when((n > 13) & d.startswith("0"), F.substring(d, 1, 11)).when(n > 13, F.substring(d, 1, 10)).otherwise(c)
+
+    def cut(x: Column) -> Column:
+        whole, part, d = x["c"], x["part"], x["d"]
+        n = F.length(d)
+        out = F.when(F.length(digits(part)).between(10, 13), part)
+        for size in (12, 11, 10):
+            out = out.when((n >= 2 * size - 2) & (n % size == 0), F.substring(d, 1, size))
+        return out.when((n > 13) & d.startswith("0"), F.substring(d, 1, 11)).when(n > 13, F.substring(d, 1, 10)).otherwise(whole)
+
+    pieces = lambda x: F.struct(x.alias("c"), F.trim(F.split(x, r"(?iu)[-/,;]|\bve\b|\bveya\b")[0]).alias("part"), digits(x).alias("d"))
+    return let(let(text(c), pieces), cut)
 
 
 def clean_phone(c: Column) -> Column:
     """+90 and ten digits, else the cleaned text."""
-    number = first_number(c)
-    d = digits(number)
-    n = F.length(d)
-    return (
-        F.when(text(c) == "", "")
-        .when(n == 10, F.concat(F.lit("+90"), d))
-        .when((n == 11) & d.startswith("0"), F.concat(F.lit("+90"), F.substring(d, 2, 10)))
-        .when((n == 12) & d.startswith("90"), F.concat(F.lit("+"), d))
-        .otherwise(clean_text(number))
-    )
+
+    def shaped(x: Column) -> Column:
+        number, d = x["n"], x["d"]
+        n = F.length(d)
+        return (
+            F.when(number == "", "")
+            .when(n == 10, F.concat(F.lit("+90"), d))
+            .when((n == 11) & d.startswith("0"), F.concat(F.lit("+90"), F.substring(d, 2, 10)))
+            .when((n == 12) & d.startswith("90"), F.concat(F.lit("+"), d))
+            .otherwise(clean_text(number))
+        )
+
+    return let(let(first_number(c), lambda x: F.struct(x.alias("n"), digits(x).alias("d"))), shaped)
 
 
 def phone_display(c: Column) -> Column:
@@ -160,18 +177,24 @@ def _any(c: Column, words) -> Column:
 
 def role_of_label(c: Column) -> Column:
     """The role that a short label names, or ''."""
-    f = fold(c)
-    out = F.when((F.length(text(c)) > 32) | (f == ""), "")
-    for role, labels in ROLE_LABELS:
-        for label in labels:
-            out = out.when((f == label) | (F.contains(f, F.lit(label)) & (F.length(f) <= len(label) + 10)), role)
-    return out.otherwise("")
+
+    def told(f: Column) -> Column:
+        out = F.when(f == "", "")
+        for role, labels in ROLE_LABELS:
+            for label in labels:
+                out = out.when((f == label) | (F.contains(f, F.lit(label)) & (F.length(f) <= len(label) + 10)), role)
+        return out.otherwise("")
+
+    return F.when(F.length(text(c)) > 32, "").otherwise(let(fold(c), told))
 
 
 def role_of_heading(c: Column, default: str = "") -> Column:
-    key = label_key(c)
-    sales, service = _any(key, SALES_WORDS), _any(key, SERVICE_WORDS)
-    return F.when(key == "", default).when(_any(key, IGNORED_WORDS), "").when(sales & service, "satis_servis").when(service, "servis").when(sales, "satis").otherwise(default)
+
+    def told(key: Column) -> Column:
+        sales, service = _any(key, SALES_WORDS), _any(key, SERVICE_WORDS)
+        return F.when(key == "", default).when(_any(key, IGNORED_WORDS), "").when(sales & service, "satis_servis").when(service, "servis").when(sales, "satis").otherwise(default)
+
+    return let(label_key(c), told)
 
 
 def role_of_flags(sales: Column, service: Column) -> Column:
@@ -180,14 +203,17 @@ def role_of_flags(sales: Column, service: Column) -> Column:
 
 def role_of_type(c: Column, mapping: dict[str, str]) -> Column:
     """The role that a source's own category maps to; unknown ones and parts give ''."""
-    s = fold(c)
-    out = F.when((s == "") | _any(s, PARTS_WORDS), "")
     plain = {" ".join("".join(x if x.isalnum() else " " for x in k.lower()).split()): v for k, v in mapping.items()}
-    for k, v in plain.items():
-        out = out.when(s == k, v)
-    for k, v in plain.items():
-        out = out.when(F.contains(s, F.lit(k)), v)
-    return out.otherwise("")
+
+    def told(s: Column) -> Column:
+        out = F.when((s == "") | _any(s, PARTS_WORDS), "")
+        for k, v in plain.items():
+            out = out.when(s == k, v)
+        for k, v in plain.items():
+            out = out.when(F.contains(s, F.lit(k)), v)
+        return out.otherwise("")
+
+    return let(fold(c), told)
 
 
 def merge_roles(a: Column, b: Column) -> Column:

@@ -161,9 +161,9 @@ ORACLES = {
     "fil09_search": f"WITH {POINTS} SELECT marka, count(*) AS n FROM pts WHERE contains({FOLD.format('concat_ws(chr(32), marka, ad, il, adres)')}, 'france') GROUP BY 1",
     "fil11_localise": f"WITH {POINTS}, g AS (SELECT DISTINCT il, ilce, rol, CASE WHEN ilce <> '' THEN ilce ELSE il END || ' Fabrika' AS nn FROM pts) SELECT il, ilce, rol, CASE WHEN count(*) OVER (PARTITION BY nn) > 1 THEN nn || ' (' || rol || ')' ELSE nn END AS name FROM g",
     "join01_left": "SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
-    "join05_blocked_pairs": "WITH r AS (SELECT c_custkey AS id, c_custkey % 40 AS f, c_nationkey % 5 AS il, c_custkey % 8 AS ilce, c_custkey % 3 AS y, c_custkey % 4 + 1 AS no FROM customer) SELECT a.id AS a, b.id AS b FROM r a JOIN r b ON a.id < b.id AND a.f = b.f AND a.il = b.il AND a.ilce = b.ilce AND a.no = b.no AND a.y = b.y",
+    "join05_blocked_pairs": "WITH r AS (SELECT c_custkey AS id, c_custkey % 40 AS f, c_nationkey % 5 AS il, c_custkey % 8 AS ilce, c_custkey % 3 AS y, c_custkey % 4 + 1 AS no FROM customer) SELECT a.id AS a, b.id AS b FROM r a JOIN r b ON a.id < b.id AND a.f = b.f AND a.il = b.il AND a.ilce = b.ilce AND a.no = b.no",
     "join06_not_seen": "SELECT c_custkey, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
-    "join11_nearest": "WITH e AS (SELECT vec_id, (embedding[1] * 10 + 39)::DOUBLE AS lat, (embedding[2] * 10 + 35)::DOUBLE AS lng FROM embeddings), d AS (SELECT vec_id, " + ", ".join(f"{_HAV.format('', y, x)} AS {n}" for n, y, x in (("a", 39.0, 35.0), ("b", 40.0, 33.0), ("c", 38.0, 27.0), ("d", 41.0, 29.0), ("e", 37.0, 37.0))) + ") SELECT vec_id, CASE WHEN least(a, b, c, d, e) > 400 THEN '' WHEN a = least(a, b, c, d, e) THEN 'a' WHEN b = least(a, b, c, d, e) THEN 'b' WHEN c = least(a, b, c, d, e) THEN 'c' WHEN d = least(a, b, c, d, e) THEN 'd' ELSE 'e' END AS place FROM d",
+    "join11_nearest": "WITH e AS (SELECT vec_id, (embedding[1] * 10 + 39)::DOUBLE AS lat, (embedding[2] * 10 + 35)::DOUBLE AS lng FROM embeddings), d AS (SELECT vec_id, " + ", ".join(f"{_HAV.format('', y, x)} AS {n}" for n, y, x in (("a", 39.0, 35.0), ("b", 40.0, 33.0), ("c", 38.0, 27.0), ("d", 41.0, 29.0), ("e", 37.0, 37.0))) + " FROM e) SELECT vec_id, CASE WHEN least(a, b, c, d, e) > 400 THEN '' WHEN a = least(a, b, c, d, e) THEN 'a' WHEN b = least(a, b, c, d, e) THEN 'b' WHEN c = least(a, b, c, d, e) THEN 'c' WHEN d = least(a, b, c, d, e) THEN 'd' ELSE 'e' END AS place FROM d",
     "join15_three_way": "WITH s AS (SELECT s_nationkey, count(*) AS points FROM supplier GROUP BY 1), c AS (SELECT c_nationkey, count(*) AS sales FROM customer GROUP BY 1) SELECT n_name AS il, coalesce(points, 0) AS points, coalesce(sales, 0) AS sales FROM nation LEFT JOIN s ON n_nationkey = s_nationkey LEFT JOIN c ON n_nationkey = c_nationkey WHERE coalesce(points, 0) > 0 OR coalesce(sales, 0) > 3",
     "join17_key_union": "WITH a AS (SELECT DISTINCT s_nationkey AS k, 1 AS a FROM supplier), b AS (SELECT DISTINCT c_nationkey AS k, 1 AS b FROM customer) SELECT k, coalesce(a, 0) AS in_a, coalesce(b, 0) AS in_b FROM a FULL JOIN b USING (k)",
     "ded01_signature": f"SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY lang, substr({FOLD.format('text')}, 1, 60) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1",
