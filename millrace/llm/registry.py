@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, line_dedup, near_dedup, packing, preference, quality, shared, suffix_tree_lm, token_counts, token_ids, url_filter
 from .encoder import tokenizer_path
+from .oracles import ORACLES
 
 
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +60,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op6_suffix_tree, op7_line_dedup, op8_token_counts, op9_near_dedup, op10_url_filter)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
