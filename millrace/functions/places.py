@@ -60,7 +60,7 @@ def resolve_province(c: Column) -> Column:
     names = _map(BY_KEY | {k: v for k, v in ALIASES.items() if k not in BY_KEY})
 
     def told(f: Column) -> Column:
-        begins = F.filter(F.array(*(F.lit(k) for k in BY_KEY)), lambda k: F.startswith(f, F.concat(k, F.lit(" "))))[0]
+        begins = F.get(F.filter(F.array(*(F.lit(k) for k in BY_KEY)), lambda k: F.startswith(f, F.concat(k, F.lit(" ")))), 0)
         return F.when(f == "", "").otherwise(F.coalesce(F.try_element_at(names, f), F.try_element_at(names, begins), title_tr(c)))
 
     return let(fold(c), told)
@@ -80,7 +80,7 @@ def split_place(c: Column) -> Column:
 
     def chosen(shown: Column, both: Column) -> Column:
         plain = (both["il"] != "") | (F.size(shown) <= 1)
-        return F.when(plain, both).otherwise(F.struct(shown[0]["il"].alias("il"), F.element_at(shown, -1)["t"].alias("ilce")))
+        return F.when(plain, both).otherwise(F.struct(F.get(shown, 0)["il"].alias("il"), F.try_element_at(shown, F.lit(-1))["t"].alias("ilce")))
 
     return let(shown, put)
 

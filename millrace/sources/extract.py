@@ -172,10 +172,10 @@ def card_records(cards: DataFrame) -> DataFrame:
     w = Window.partitionBy("url", "grp").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     made = cards.select(
         "url", "grp", "ord", F.last(F.when(is_province(F.col("heading")), resolve_province(F.col("heading"))), ignorenulls=True).over(w).alias("il_baslik"),
-        F.coalesce(F.filter("parts", is_phone)[0], F.lit("")).alias("telefon"), F.coalesce(F.filter("parts", is_mail)[0], F.lit("")).alias("email"),
-        F.coalesce(F.filter(bare, is_address)[0], F.lit("")).alias("adres"), F.filter(F.transform(bare, T.role_of_label), lambda r: r != "")[0].alias("rol"),
-        F.filter(bare, is_province)[0].alias("il"),
-        F.filter(bare, lambda p: ~is_phone(p) & ~is_address(p) & ~is_province(p) & (T.role_of_label(p) == "") & (F.length(p) > 2))[0].alias("bayi_adi"),
+        F.coalesce(F.get(F.filter("parts", is_phone), 0), F.lit("")).alias("telefon"), F.coalesce(F.get(F.filter("parts", is_mail), 0), F.lit("")).alias("email"),
+        F.coalesce(F.get(F.filter(bare, is_address), 0), F.lit("")).alias("adres"), F.get(F.filter(F.transform(bare, T.role_of_label), lambda r: r != ""), 0).alias("rol"),
+        F.get(F.filter(bare, is_province), 0).alias("il"),
+        F.get(F.filter(bare, lambda p: ~is_phone(p) & ~is_address(p) & ~is_province(p) & (T.role_of_label(p) == "") & (F.length(p) > 2)), 0).alias("bayi_adi"),
     )
     out = made.select("url", "grp", "ord", T.clean_text(F.col("bayi_adi")).alias("bayi_adi"), T.text(F.when(F.col("il").isNotNull(), resolve_province(F.col("il")))).alias("il"), T.text("il_baslik").alias("il_baslik"), T.clean_address(F.col("adres")).alias("adres"), T.clean_phone(F.regexp_replace("telefon", "^tel:", "")).alias("telefon"), F.regexp_replace("email", "^mailto:", "").alias("email"), T.text("rol").alias("rol"))
     return out.filter((F.col("telefon") != "") | (F.col("adres") != ""))
