@@ -1,8 +1,9 @@
 """Verified links within blocks, and the connected components they make, without all pairs of a block.
 
-Blocks are rows (key, node). First every member meets three members of its block (the smallest, the largest and one by
-hash); what is verified joins components. Then only members of a block that still lie in different components meet, each
-pair that is near enough by its signature. So every pair of a block is either verified, or refused, or lies in one
+Blocks are rows (key, slot, node); the slot tells which part of the signature the key is made of. First every member meets
+two members of its block (the smallest, and one by a hash that differs from block to block); what is verified joins
+components. Then only members of a block that still lie in different components meet, each pair that is near enough by its
+signature, and in the first of its common blocks alone. So every pair of a block is either verified, or refused, or lies in one
 component already: no link between components is lost, while a block of many alike members costs a multiple of its size.
 
 Each step is a table in the shared folder; components never pass the driver.
@@ -57,13 +58,14 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     return leaves.unionByName(held.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """(node, comp) of every node with a verified link. keys: (key, node); signatures: (node, further columns);
-    near(a, b): the condition on two signatures under these aliases; verify(pairs of a and b, name): those that link."""
+def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], first_slot: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """(node, comp) of every node with a verified link. keys: (key, slot, node); signatures: (node, further columns);
+    near(a, b) and first_slot(a, b): whether two signatures under these aliases are near, and their first common slot;
+    verify(pairs of a and b, name): those that link."""
     keys = keys.repartition("key")  # one shuffle for the sizes and for the members
-    sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node")).alias("by_hash")).filter("lo != hi")
+    sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node", "key")).alias("by_hash")).filter("lo != hi")
     met = scratch.save(keys.join(sizes, "key").join(signatures, "node"), "met")
-    leaders = F.array_distinct(F.array("lo", "hi", "by_hash"))
+    leaders = F.array_distinct(F.array("lo", "by_hash"))
     first = met.select("node", F.explode(leaders).alias("leader")).filter("node != leader")
     first = first.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
     first = scratch.save(_near(first, signatures, near), "first")
@@ -74,8 +76,8 @@ def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callabl
     apart = own.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 != c2").select("key")
     left = scratch.save(own.join(apart, "key", "left_semi"), "apart")
     x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & near("x", "y"))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & near("x", "y") & (F.col("x.slot") == first_slot("x", "y")))
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).join(first, ["a", "b"], "left_anti")
     more = scratch.save(verify(scratch.save(pairs, "second"), "second"), "links2")
     return scratch.save(components(scratch, links.unionByName(more), "all"), "components")
 

@@ -106,21 +106,38 @@ def _arrays(documents: DataFrame, size: int) -> DataFrame:
 
 
 def index_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node): each chunk without each of its four values."""
+    """(key, slot, node): each chunk without each of its four values; the slot is 4 * chunk + value."""
     masks = [~(0xFFFF << (16 * e)) & 0xFFFFFFFFFFFFFFFF for e in range(4)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*(F.xxhash64(F.lit(4 * c + e), F.col(f"s{c}").bitwiseAND(F.lit(signed[e]).cast("long"))) for c in range(CHUNKS) for e in range(4)))
-    return nodes.select(F.explode(keys).alias("key"), "node")
+    return nodes.select(F.posexplode(keys).alias("slot", "key"), "node")
+
+
+def _differing(a: str, b: str, chunk: int) -> Column:
+    """A bit at 0, 16, 32 and 48 for each of the chunk's values that differs."""
+    x = F.col(f"{a}.s{chunk}").bitwiseXOR(F.col(f"{b}.s{chunk}"))
+    for by in (8, 4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, by))
+    return x.bitwiseAND(F.lit(0x0001000100010001).cast("long"))
 
 
 def distance(a: str, b: str) -> Column:
     """The number of differing 16-bit values of two signatures."""
     out = F.lit(0)
     for k in range(CHUNKS):
-        x = F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))
-        for by in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, by))
-        out = out + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001).cast("long")))
+        out = out + F.bit_count(_differing(a, b, k))
+    return out
+
+
+def first_slot(a: str, b: str) -> Column:
+    """The first slot under which two signatures share a key: of the first chunk with at most one differing value, that
+    value, or 0 if none differs."""
+    out = F.when(F.lit(False), F.lit(0))
+    for k in range(CHUNKS):
+        d = _differing(a, b, k)
+        out = out.when(d == 0, F.lit(4 * k))
+        for e in range(4):
+            out = out.when(d == F.lit(1 << (16 * e)).cast("long"), F.lit(4 * k + e))
     return out
 
 
@@ -146,7 +163,7 @@ def groups(spark: SparkSession, documents: DataFrame, size: int = WORDS, percent
         both = F.size(F.array_intersect("x", "y")).cast("long")
         return pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
-    comp = linking.link(scratch, index_keys(nodes), nodes.drop("doc_id"), near, verify)
+    comp = linking.link(scratch, index_keys(nodes), nodes.drop("doc_id"), near, first_slot, verify)
     least = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = scratch.save(least.join(ids, "comp").select("node", "component_id"), "named")
