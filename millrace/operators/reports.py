@@ -67,7 +67,7 @@ def breakdown(points: DataFrame, by: str, top: int | None = None) -> DataFrame:
 
 
 def overview(points: DataFrame, provinces: int = 81) -> DataFrame:
-    share = lambda test: F.round(100 * F.count_if(test) / F.count("*"), 2)
+    share = lambda test: F.round(F.try_divide(100 * F.count_if(test), F.count("*")), 2)
     n_il = F.count_distinct(F.when(text("il") != "", F.col("il")))
     return points.agg(*role_columns(sells(), serves()), share(text("tel") != "").alias("phone_pct"), share(text("ilce") != "").alias("ilce_pct"), n_il.alias("n_il"), F.round(100 * n_il / provinces, 2).alias("il_pct"), F.count_distinct("marka").alias("n_brands"), F.count_if(F.col("durum") != "aktif").alias("stale"))
 

@@ -66,7 +66,7 @@ def test_merge_life(spark):
 
 
 def test_cleanup(spark):
-    rows = [("k1", "m", "Detay", "dogrulanamadi", "+901", "A", "2024-01-01"), ("k2", "m", "Ay Motor", "aktif", "+902", "Z Cad. No: 1", "2024-01-01"), ("k3", "m", "Ay Motor", "dogrulanamadi", "+902", "Z Cad. No: 1", "2024-01-01"), ("k4", "m", "Ay Ticaret", "dogrulanamadi", "+902", "Y Cad. No: 7", "2024-01-01"), ("k5", "m", "Tek Firma", "dogrulanamadi", "", "Q", "2024-01-01")]
+    rows = [("k1", "m", "Detay", "dogrulanamadi", "+901", "A", "2024-01-01"), ("k2", "m", "Ayla Motor", "aktif", "+902", "Z Cad. No: 1", "2024-01-01"), ("k3", "m", "Ayla Motor", "dogrulanamadi", "+902", "Z Cad. No: 1", "2024-01-01"), ("k4", "m", "Ayla Ticaret", "dogrulanamadi", "+902", "Y Cad. No: 7", "2024-01-01"), ("k5", "m", "Tek Firma", "dogrulanamadi", "", "Q", "2024-01-01")]
     s = spark.createDataFrame([(k, m, n, "Konya", "Meram", a, p, "satis", d, 0, None, None) for k, m, n, d, p, a, _ in rows], scans.STORE).withColumn("son_gorulme", F.lit("2024-01-01").cast("timestamp"))
     good = spark.createDataFrame([("m", f"2024-01-0{i} 10:00:00", "basarili") for i in (2, 3, 4)], "marka string, bitis string, durum string").withColumn("bitis", F.col("bitis").cast("timestamp"))
     brands = spark.createDataFrame([("m", False, "basarili")], "marka string, karantina boolean, son_deneme_durum string")
