@@ -4,7 +4,10 @@ A document's set is that of its 5-word shingles. Its signature has VALUES minimu
 four to a chunk. Two signatures at a distance (number of differing values) of at most DISTANCE must, by the pigeonhole,
 differ in at most one value in some chunk; so each chunk is entered in the index four times, each time without one of its
 values, and all pairs within the distance meet. At a resemblance of 0.75 the distance is more than DISTANCE once in about
-3,000 pairs. Candidates are confirmed on the full sets (64-bit hashes of all shingles), and components follow.
+3,000 pairs. Before a pair leaves the join it must also pass an odd sketch, ODD_BITS bits of which each shingle flips one:
+the bits in which two sketches differ are never more than the shingles in which the sets differ, so no pair at the
+threshold is refused, and few others pass. Candidates are confirmed on the full sets (64-bit hashes of all shingles), and
+components follow.
 
 Equal sets are one node before anything meets, so a group of exact copies is one row of the index however large it is;
 large groups of near copies are handled by `linking`. Memory: one Arrow batch of texts, or one document's shingles.
@@ -28,6 +31,8 @@ from . import linking, shared
 
 WORDS, VALUES, DISTANCE = 5, 40, 19
 CHUNKS = VALUES // 4
+ODD_BITS = 1024
+SIGNATURE = [*(f"s{k}" for k in range(CHUNKS)), *(f"o{k}" for k in range(ODD_BITS // 64))]
 _RANDOM = np.random.default_rng(20240501)
 _A = _RANDOM.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64)
@@ -71,8 +76,16 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(out).view(np.int64)
 
 
+def _odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """ODD_BITS / 64 integers for each set."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    bit = (np.concatenate([np.zeros(0, np.uint64), *sets]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(54)).astype(np.int64)
+    flips = np.bincount(np.repeat(np.arange(len(sets)), sizes) * ODD_BITS + bit, minlength=len(sets) * ODD_BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64).reshape(len(sets), -1)
+
+
 def sets_table(documents: DataFrame, size: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set, null if empty), s0.. (the signature's chunks)."""
+    """doc_id, n_shingles, node (hash of the set, null if empty), s0.. (the signature's chunks), o0.. (the odd sketch)."""
 
     def rows(batches):
         for batch in batches:
@@ -83,12 +96,12 @@ def sets_table(documents: DataFrame, size: int = WORDS) -> DataFrame:
                     sets.append(shingles(texts[at].as_py(), size))
                     total += len(sets[-1])
                     at += 1
-                signature = _signatures(sets)
+                signature = np.hstack((_signatures(sets), _odd_sketches(sets)))
                 node = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) if len(x) else None for x in sets]
-                arrays = [ids.slice(first, at - first), pa.array([len(x) for x in sets], pa.int64()), pa.array(node, pa.int64()), *(pa.array(signature[:, k]) for k in range(CHUNKS))]
+                arrays = [ids.slice(first, at - first), pa.array([len(x) for x in sets], pa.int64()), pa.array(node, pa.int64()), *(pa.array(np.ascontiguousarray(x)) for x in signature.T)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    names = ["doc_id", "n_shingles", "node", *(f"s{k}" for k in range(CHUNKS))]
+    names = ["doc_id", "n_shingles", "node", *SIGNATURE]
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(rows, ", ".join(f"{x} long" for x in names))
 
@@ -145,13 +158,17 @@ def groups(spark: SparkSession, documents: DataFrame, size: int = WORDS, percent
     """doc_id, n_shingles, component_id, kept of every document; links at 100 * intersection >= percent * union."""
     scratch = shared.Scratch(spark, "near-dedup")
     sets = scratch.save(sets_table(documents, size), "sets")
-    chunks = [f"s{k}" for k in range(CHUNKS)]
-    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in chunks))
+    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in SIGNATURE))
     nodes = scratch.save(nodes, "nodes")
 
     def near(a: str, b: str) -> Column:
         least, most = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-        return (100 * least >= percent * most) & (distance(a, b) <= DISTANCE)
+        odd = F.lit(0)
+        for k in range(ODD_BITS // 64):
+            odd = odd + F.bit_count(F.col(f"{a}.o{k}").bitwiseXOR(F.col(f"{b}.o{k}")))
+        # 100 * both >= percent * all, with both + all = the sizes' sum and all - both >= odd
+        differ = (100 + percent) * odd <= (100 - percent) * (least + most)
+        return (100 * least >= percent * most) & differ & (distance(a, b) <= DISTANCE)
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
