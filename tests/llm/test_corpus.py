@@ -168,7 +168,8 @@ def _simhash(spark, text):
 
 def line_words(text):
     found = re.sub(r"[\W_]+", " ", text.lower()).strip().split(" ")
-    return [w for w in found if len(w) >= 5] or found
+    long = [w for w in found if len(w) >= 5]
+    return long if len(long) >= 5 else found
 
 
 def test_suffix_tree(spark, documents, rows, empty):
