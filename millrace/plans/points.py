@@ -54,7 +54,7 @@ QUERIES = {
     "agg02_role_counts": lambda s, d: R.role_counts(points(s, d), "marka"),
     "agg03_firm_counts": lambda s, d: R.firm_counts(points(s, d), "il"),
     "agg04_firms": lambda s, d: R.firms(points(s, d)),
-    "agg05_several_brands": lambda s, d: R.several_brands(points(s, d), "Brand#11"),
+    "agg05_several_brands": lambda s, d: R.several_brands(points(s, d), "Brand#17"),
     "agg06_brand_summary": lambda s, d: R.brand_summary(points(s, d)),
     "agg07_breakdown": lambda s, d: R.breakdown(points(s, d), "ilce", 60),
     "agg08_overview": lambda s, d: R.overview(points(s, d)),
@@ -64,15 +64,15 @@ QUERIES = {
     "agg14_province_totals": lambda s, d: R.with_totals(points(s, d), "il"),
     "agg15_brand_totals": lambda s, d: R.with_totals(points(s, d), "marka"),
     "agg16_brand_size": lambda s, d: R.breakdown(points(s, d), "marka"),
-    "agg18_name_repeats": lambda s, d: R.name_repeats(points(s, d), 0.02),
+    "agg18_name_repeats": lambda s, d: R.name_repeats(points(s, d).withColumn("ad", F.col("ilce"))),
     "agg22_empty_majority": lambda s, d: R.empty_majority(points(s, d).withColumn("email", F.when(F.col("ord") % 3 == 0, "x").otherwise("")), "tel", "ilce", "email"),
-    "agg23_growth": lambda s, d: R.growth(points(s, d).filter("yil = 1996").groupBy("marka").agg(F.count("*").alias("n")), points(s, d).filter("yil = 1998").groupBy("marka").agg(F.count("*").alias("n"))),
-    "agg25_chips": lambda s, d: R.chips(points(s, d).filter("il = 'GERMANY'")),
+    "agg23_growth": lambda s, d: R.growth(points(s, d).filter("yil = 1996").groupBy("marka").agg(F.count("*").alias("n")), points(s, d).filter("yil = 1996 AND ord % 3 = 0").groupBy("marka").agg(F.count("*").alias("n"))),
+    "agg25_chips": lambda s, d: R.chips(points(s, d).filter("il = 'NATION_3'")),
     "agg01_health": lambda s, d: R.health(points(s, d).select("marka").distinct(), points(s, d).filter("yil = 1997")),
     "agg27_counters": lambda s, d: points(s, d).agg(F.count("*").alias("n"), F.count_distinct("marka").alias("n_brands"), F.count_distinct("il", "ilce").alias("n_places"), F.count_if(F.col("durum") != "aktif").alias("stale")),
     "agg28_region_brands": lambda s, d: points(s, d).filter("durum = 'aktif'").groupBy("il", "marka").agg(F.count_if(R.sells()).alias("sales"), F.count_if(R.serves()).alias("service")).filter("sales + service > 0"),
     "agg29_pickers": lambda s, d: points(s, d).select("marka", "il").distinct(),
-    "fil01_query": lambda s, d: points(s, d).filter(F.col("durum").isin("aktif", "dogrulanamadi") & (F.lower("il") == "france") & F.contains("ilce", F.lit("3")) & F.col("marka").isin("Brand#11", "Brand#23", "Brand#45")).select("marka", "il", "ilce", "ad", "ord").orderBy("marka", "il", "ilce", "ad", "ord"),
+    "fil01_query": lambda s, d: points(s, d).filter(F.col("durum").isin("aktif", "dogrulanamadi") & (F.lower("il") == "nation_7") & F.contains("ilce", F.lit("3")) & F.col("marka").isin("Brand#17", "Brand#2", "Brand#4")).select("marka", "il", "ilce", "ad", "ord").orderBy("marka", "il", "ilce", "ad", "ord"),
     "fil03_roles": lambda s, d: points(s, d).filter(R.sells()).groupBy("rol", "durum").agg(F.count("*").alias("n")),
 }
 
@@ -81,7 +81,7 @@ ORACLES = {
     "agg02_role_counts": f"WITH {POINTS} SELECT marka, {_roles()} FROM pts GROUP BY marka",
     "agg03_firm_counts": f"WITH {POINTS}, f AS (SELECT il, kod, bool_or{S} AS s, bool_or{V} AS v FROM pts GROUP BY il, kod) SELECT il, {_roles('s', 'v')} FROM f GROUP BY il",
     "agg04_firms": f"WITH {POINTS} SELECT kod AS firm, arg_max(ad, length(ad)::BIGINT * 1000000000 - ord) AS ad, arg_max(adres, length(adres)::BIGINT * 1000000000 - ord) AS adres, arg_min(il, ord) AS il, arg_min(ilce, ord) AS ilce, arg_min(tel, ord) AS tel, coalesce(array_to_string(list_sort(list_distinct(list(marka) FILTER {S})), ','), '') AS sales_brands, coalesce(array_to_string(list_sort(list_distinct(list(marka) FILTER {V})), ','), '') AS service_brands, count(DISTINCT marka) AS n_brands FROM pts GROUP BY kod",
-    "agg05_several_brands": f"WITH {POINTS}, f AS (SELECT kod AS firm, list_sort(list_distinct(list(marka))) AS b FROM pts GROUP BY kod) SELECT firm, array_to_string(CASE WHEN list_contains(b, 'Brand#11') THEN list_concat(['Brand#11'], list_filter(b, lambda x: x <> 'Brand#11')) ELSE b END, ',') AS brands FROM f WHERE len(b) >= 2",
+    "agg05_several_brands": f"WITH {POINTS}, f AS (SELECT kod AS firm, list_sort(list_distinct(list(marka))) AS b FROM pts GROUP BY kod) SELECT firm, array_to_string(CASE WHEN list_contains(b, 'Brand#17') THEN list_concat(['Brand#17'], list_filter(b, lambda x: x <> 'Brand#17')) ELSE b END, ',') AS brands FROM f WHERE len(b) >= 2",
     "agg06_brand_summary": f"WITH {POINTS} SELECT marka, {_roles()}, count(DISTINCT il) AS n_il, count(DISTINCT CASE WHEN ilce <> '' THEN il || '|' || ilce END) AS n_ilce, count(DISTINCT il) FILTER {S} AS n_il_sales, count(DISTINCT il) FILTER {V} AS n_il_service, count(DISTINCT CASE WHEN ilce <> '' THEN il || '|' || ilce END) FILTER {S} AS n_ilce_sales, count(DISTINCT CASE WHEN ilce <> '' THEN il || '|' || ilce END) FILTER {V} AS n_ilce_service FROM pts GROUP BY marka",
     "agg07_breakdown": f"WITH {POINTS} SELECT ilce, count(*) AS total, count(DISTINCT marka) AS n_brands FROM pts WHERE ilce <> '' GROUP BY ilce ORDER BY total DESC, ilce LIMIT 60",
     "agg08_overview": f"WITH {POINTS} SELECT {_roles()}, round(100 * count(*) FILTER (tel <> '') / count(*), 2) AS phone_pct, round(100 * count(*) FILTER (ilce <> '') / count(*), 2) AS ilce_pct, count(DISTINCT il) AS n_il, round(100 * count(DISTINCT il) / 81, 2) AS il_pct, count(DISTINCT marka) AS n_brands, count(*) FILTER (durum <> 'aktif') AS stale FROM pts",
@@ -93,14 +93,14 @@ ORACLES = {
     "agg14_province_totals": f"WITH {POINTS} " + _TOT.format(c="il"),
     "agg15_brand_totals": f"WITH {POINTS} " + _TOT.format(c="marka"),
     "agg16_brand_size": f"WITH {POINTS} SELECT marka, count(*) AS total, count(DISTINCT marka) AS n_brands FROM pts GROUP BY marka",
-    "agg18_name_repeats": f"WITH {POINTS}, n AS (SELECT marka, ad, count(*) AS n FROM pts GROUP BY 1, 2) SELECT marka, ad, n FROM (SELECT *, sum(n) OVER (PARTITION BY marka) AS a FROM n) WHERE n >= 3 AND n >= 0.02 * a AND ad <> ''",
+    "agg18_name_repeats": f"WITH {POINTS}, n AS (SELECT marka, ilce AS ad, count(*) AS n FROM pts GROUP BY 1, 2) SELECT marka, ad, n FROM (SELECT *, sum(n) OVER (PARTITION BY marka) AS a FROM n) WHERE n >= 3 AND n >= 0.15 * a AND ad <> ''",
     "agg22_empty_majority": f"WITH {POINTS}, s AS (SELECT unnest(['tel', 'ilce', 'email']) AS field, unnest([avg((tel = '')::INT), avg((ilce = '')::INT), avg((ord % 3 <> 0)::INT)]) AS x FROM pts) SELECT field, round(x, 6) AS share FROM s WHERE round(x, 6) > 0.5",
-    "agg23_growth": f"WITH {POINTS}, b AS (SELECT marka, count(*) AS n FROM pts WHERE yil = 1996 GROUP BY 1), a AS (SELECT marka, count(*) AS n FROM pts WHERE yil = 1998 GROUP BY 1) SELECT marka, b.n AS n_before, coalesce(a.n, 0) AS n_after, CASE WHEN coalesce(a.n, 0) / b.n > 1.3 THEN 'grew' ELSE 'shrank' END AS warning FROM b LEFT JOIN a USING (marka) WHERE b.n >= 20 AND (coalesce(a.n, 0) / b.n > 1.3 OR coalesce(a.n, 0) / b.n < 0.6)",
-    "agg25_chips": f"WITH {POINTS} SELECT count(*) AS all_, count(*) FILTER {S} AS sales, count(*) FILTER {V} AS service, count(*) FILTER (rol = 'satis') AS only_sales, count(*) FILTER (rol = 'servis') AS only_service, count(*) FILTER (rol = 'satis_servis') AS both FROM pts WHERE il = 'GERMANY'",
+    "agg23_growth": f"WITH {POINTS}, b AS (SELECT marka, count(*) AS n FROM pts WHERE yil = 1996 GROUP BY 1), a AS (SELECT marka, count(*) AS n FROM pts WHERE yil = 1996 AND ord % 3 = 0 GROUP BY 1) SELECT marka, b.n AS n_before, coalesce(a.n, 0) AS n_after, CASE WHEN coalesce(a.n, 0) / b.n > 1.3 THEN 'grew' ELSE 'shrank' END AS warning FROM b LEFT JOIN a USING (marka) WHERE b.n >= 20 AND (coalesce(a.n, 0) / b.n > 1.3 OR coalesce(a.n, 0) / b.n < 0.6)",
+    "agg25_chips": f"WITH {POINTS} SELECT count(*) AS all_, count(*) FILTER {S} AS sales, count(*) FILTER {V} AS service, count(*) FILTER (rol = 'satis') AS only_sales, count(*) FILTER (rol = 'servis') AS only_service, count(*) FILTER (rol = 'satis_servis') AS both FROM pts WHERE il = 'NATION_3'",
     "agg01_health": f"WITH {POINTS}, b AS (SELECT DISTINCT marka FROM pts), p AS (SELECT * FROM pts WHERE yil = 1997) SELECT marka, count(*) FILTER (durum = 'aktif') AS aktif, count(*) FILTER (durum = 'dogrulanamadi') AS supheli, count(*) FILTER (durum = 'kaldirildi') AS dusen, count(*) FILTER (durum IN ('aktif', 'dogrulanamadi')) AS toplam FROM b LEFT JOIN p USING (marka) GROUP BY marka",
     "agg27_counters": f"WITH {POINTS} SELECT count(*) AS n, count(DISTINCT marka) AS n_brands, count(DISTINCT il || '|' || ilce) AS n_places, count(*) FILTER (durum <> 'aktif') AS stale FROM pts",
     "agg28_region_brands": f"WITH {POINTS} SELECT il, marka, count(*) FILTER {S} AS sales, count(*) FILTER {V} AS service FROM pts WHERE durum = 'aktif' GROUP BY 1, 2",
     "agg29_pickers": f"WITH {POINTS} SELECT DISTINCT marka, il FROM pts",
-    "fil01_query": f"WITH {POINTS} SELECT marka, il, ilce, ad, ord FROM pts WHERE durum IN ('aktif', 'dogrulanamadi') AND lower(il) = 'france' AND ilce LIKE '%3%' AND marka IN ('Brand#11', 'Brand#23', 'Brand#45')",
+    "fil01_query": f"WITH {POINTS} SELECT marka, il, ilce, ad, ord FROM pts WHERE durum IN ('aktif', 'dogrulanamadi') AND lower(il) = 'nation_7' AND ilce LIKE '%3%' AND marka IN ('Brand#17', 'Brand#2', 'Brand#4')",
     "fil03_roles": f"WITH {POINTS} SELECT rol, durum, count(*) AS n FROM pts WHERE {S} GROUP BY 1, 2",
 }

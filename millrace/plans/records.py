@@ -94,13 +94,13 @@ def nation_plan(s: SparkSession, d: str) -> DataFrame:
 
 
 def manual_gone(s: SparkSession, d: str) -> DataFrame:
-    """Customers that no order names."""
-    return read(s, d, "customer").join(read(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_mktsegment")
+    """Customers without an order in 1996."""
+    return read(s, d, "customer").join(read(s, d, "orders").filter(F.year("o_orderdate") == 1996), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_mktsegment")
 
 
 def suppliers_alike(s: SparkSession, d: str) -> DataFrame:
     """Customers as records with few names and places: pairs that are one firm."""
-    c = read(s, d, "customer").filter("c_custkey % 2 = 0 OR c_custkey % 2 = 1")
+    c = read(s, d, "customer")
     rec = c.select(F.col("c_custkey").alias("id"), F.concat(F.lit("Firma"), (F.col("c_custkey") % 40).cast("string")).alias("bayi_adi"), (F.col("c_nationkey") % 5).cast("string").alias("il"), (F.col("c_custkey") % 8).cast("string").alias("ilce"), F.concat(F.lit("Yol"), (F.col("c_custkey") % 3).cast("string"), F.lit(" Sok. No: "), (F.col("c_custkey") % 4 + 1).cast("string")).alias("adres"), F.lit("").alias("telefon"), F.col("c_mktsegment").alias("marka"))
     return identity.same_pairs(rec)
 
@@ -124,7 +124,7 @@ QUERIES = {
     "fn30_slug": lambda s, d: read(s, d, "customer").select("c_custkey", T.slug(F.col("c_name"), "-").alias("slug")),
     "fil05_needles": lambda s, d: read(s, d, "documents").filter(F.contains(T.fold(F.col("text")), F.lit("released under")) | F.contains(T.fold(F.col("text")), F.lit("mit license"))).select("doc_id"),
     "fil08_machine_url": lambda s, d: read(s, d, "pages").filter(~T.machine_url(F.col("url"))).select("page_id"),
-    "fil09_search": lambda s, d: points(s, d).filter(F.contains(T.fold(F.concat_ws(" ", "marka", "ad", "il", "adres")), F.lit("france"))).groupBy("marka").agg(F.count("*").alias("n")),
+    "fil09_search": lambda s, d: points(s, d).filter(F.contains(T.fold(F.concat_ws(" ", "marka", "ad", "il", "adres")), F.lit("nation 7"))).groupBy("marka").agg(F.count("*").alias("n")),
     "fil11_localise": lambda s, d: points(s, d).groupBy("il", "ilce", "rol").agg(F.count("*").alias("n")).withColumn("new_name", F.concat_ws(" ", F.when(F.col("ilce") != "", F.col("ilce")).otherwise(F.col("il")), F.lit("Fabrika"))).withColumn("c", F.count("*").over(Window.partitionBy("new_name"))).select("il", "ilce", "rol", F.when(F.col("c") > 1, F.concat("new_name", F.lit(" ("), "rol", F.lit(")"))).otherwise(F.col("new_name")).alias("name")),
     "join01_left": lambda s, d: read(s, d, "customer").join(read(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "c_name", "n_name"),
     "join05_blocked_pairs": suppliers_alike,
@@ -136,7 +136,7 @@ QUERIES = {
     "ded02_unique_key": unique_keys,
     "sort05_nulls_last": lambda s, d: read(s, d, "orders").orderBy(F.coalesce(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")), F.lit(-1.0)).desc(), "o_orderkey").limit(50).select("o_orderkey"),
     "sort06_feed": lambda s, d: read(s, d, "events").orderBy(F.col("event_id").desc()).limit(50).select("event_id", "event_type"),
-    "src09_json": lambda s, d: read(s, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.page", "string").alias("page")),
+    "src09_json": lambda s, d: read(s, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k")),
     "src14_fill_forward": filled_forward,
     "src16_links": lambda s, d: extract.page_links(read(s, d, "pages")).groupBy("url").agg(F.count("*").alias("n")),
     "src15_best_group": pages_best,
@@ -158,11 +158,11 @@ ORACLES = {
     "fn30_slug": f"SELECT c_custkey, replace({FOLD.format('c_name')}, ' ', '-') AS slug FROM customer",
     "fil05_needles": f"SELECT doc_id FROM documents WHERE contains({FOLD.format('text')}, 'released under') OR contains({FOLD.format('text')}, 'mit license')",
     "fil08_machine_url": "SELECT page_id FROM pages WHERE NOT regexp_matches(lower(url), '(/api/|/ajax|/wp-json/|graphql|\\.json(\\?|$)|\\.xml(\\?|$)|admin-ajax)')",
-    "fil09_search": f"WITH {POINTS} SELECT marka, count(*) AS n FROM pts WHERE contains({FOLD.format('concat_ws(chr(32), marka, ad, il, adres)')}, 'france') GROUP BY 1",
+    "fil09_search": f"WITH {POINTS} SELECT marka, count(*) AS n FROM pts WHERE contains({FOLD.format('concat_ws(chr(32), marka, ad, il, adres)')}, 'nation 7') GROUP BY 1",
     "fil11_localise": f"WITH {POINTS}, g AS (SELECT DISTINCT il, ilce, rol, CASE WHEN ilce <> '' THEN ilce ELSE il END || ' Fabrika' AS nn FROM pts) SELECT il, ilce, rol, CASE WHEN count(*) OVER (PARTITION BY nn) > 1 THEN nn || ' (' || rol || ')' ELSE nn END AS name FROM g",
     "join01_left": "SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
     "join05_blocked_pairs": "WITH r AS (SELECT c_custkey AS id, c_custkey % 40 AS f, c_nationkey % 5 AS il, c_custkey % 8 AS ilce, c_custkey % 3 AS y, c_custkey % 4 + 1 AS no FROM customer) SELECT a.id AS a, b.id AS b FROM r a JOIN r b ON a.id < b.id AND a.f = b.f AND a.il = b.il AND a.ilce = b.ilce AND a.no = b.no",
-    "join06_not_seen": "SELECT c_custkey, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    "join06_not_seen": "SELECT c_custkey, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = 1996)",
     "join11_nearest": "WITH e AS (SELECT vec_id, (embedding[1] * 10 + 39)::DOUBLE AS lat, (embedding[2] * 10 + 35)::DOUBLE AS lng FROM embeddings), d AS (SELECT vec_id, " + ", ".join(f"{_HAV.format('', y, x)} AS {n}" for n, y, x in (("a", 39.0, 35.0), ("b", 40.0, 33.0), ("c", 38.0, 27.0), ("d", 41.0, 29.0), ("e", 37.0, 37.0))) + " FROM e) SELECT vec_id, CASE WHEN least(a, b, c, d, e) > 400 THEN '' WHEN a = least(a, b, c, d, e) THEN 'a' WHEN b = least(a, b, c, d, e) THEN 'b' WHEN c = least(a, b, c, d, e) THEN 'c' WHEN d = least(a, b, c, d, e) THEN 'd' ELSE 'e' END AS place FROM d",
     "join15_three_way": "WITH s AS (SELECT s_nationkey, count(*) AS points FROM supplier GROUP BY 1), c AS (SELECT c_nationkey, count(*) AS sales FROM customer GROUP BY 1) SELECT n_name AS il, coalesce(points, 0) AS points, coalesce(sales, 0) AS sales FROM nation LEFT JOIN s ON n_nationkey = s_nationkey LEFT JOIN c ON n_nationkey = c_nationkey WHERE coalesce(points, 0) > 0 OR coalesce(sales, 0) > 3",
     "join17_key_union": "WITH a AS (SELECT DISTINCT s_nationkey AS k, 1 AS a FROM supplier), b AS (SELECT DISTINCT c_nationkey AS k, 1 AS b FROM customer) SELECT k, coalesce(a, 0) AS in_a, coalesce(b, 0) AS in_b FROM a FULL JOIN b USING (k)",
@@ -170,7 +170,7 @@ ORACLES = {
     "ded02_unique_key": f"SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN {FOLD.format('c_mktsegment')} || '|+90' || c_custkey || '|' || substr(" + FOLD.format("c_name || ' Sok. No:' || c_nationkey") + f", 1, 80) || '|' || substr({FOLD.format('c_name')}, 1, 40) ELSE {FOLD.format('c_mktsegment')} || '|' || substr({FOLD.format('c_name')}, 1, 40) || '|' || substr(" + FOLD.format("c_name || ' Sok. No:' || c_nationkey") + ", 1, 80) END AS k FROM customer",
     "sort05_nulls_last": "SELECT o_orderkey FROM orders ORDER BY CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE -1 END DESC, o_orderkey LIMIT 50",
     "sort06_feed": "SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 50",
-    "src09_json": "SELECT event_id, json_extract_string(props, '$.page') AS page FROM events",
+    "src09_json": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "src14_fill_forward": "SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS after FROM events",
     "src16_links": "SELECT url, sum(len(regexp_extract_all(html, '(?is)<a\\b[^>]*?href\\s*=\\s*[\"''][^\"'']*[\"''][^>]*>.*?</a>')))::BIGINT AS n FROM pages GROUP BY url HAVING n > 0",
     "src24_flags": "WITH e AS (SELECT user_id, bool_or(event_type = 'purchase') AS a, bool_or(event_type = 'click') AS b FROM events GROUP BY 1) SELECT user_id, CASE WHEN a AND b THEN 'satis_servis' WHEN a THEN 'satis' WHEN b THEN 'servis' ELSE '' END AS rol FROM e",
