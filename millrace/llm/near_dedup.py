@@ -187,8 +187,7 @@ def groups(spark: SparkSession, documents: DataFrame, size: int = WORDS, percent
     found = sets.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     out = scratch.save(found.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")), "groups")
-    for name in ("sets", "nodes", "met", "first", "apart", "second", "links1", "links2", "components", "named", "first-arrays", "second-arrays", "first-wanted", "second-wanted"):
-        scratch.drop(name)
+    scratch.keep("groups")
     return out
 
 

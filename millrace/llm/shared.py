@@ -31,9 +31,20 @@ class Scratch:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
-    def drop(self, name: str = "") -> None:
+    def _at(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def drop(self, name: str = "") -> None:
+        path, files = self._at(name)
+        files.delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Drops all tables but these."""
+        path, files = self._at("")
+        for x in files.listStatus(path):
+            if x.getPath().getName() not in names:
+                files.delete(x.getPath(), True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

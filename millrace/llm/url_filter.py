@@ -77,8 +77,7 @@ def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int =
     deepest = walks.select("host", "path", "k", "t").join(kept, ["k", "t"]).groupBy("host", "path").agg(F.max(F.struct("k", "t", "_n", "_b", "_purity")).alias("v"))
     found = deepest.select("host", "path", F.col("v.t").alias("template"), F.col("v._n").alias("labelled"), F.col("v._b").alias("bad"), F.round("v._purity", 12).alias("purity"), ((F.col("v._n") > 0) & (F.col("v._purity") >= reject)).alias("rejected"))
     found = scratch.save(found, "templates")
-    for name in (*(f"level{k}" for k in range(depth)), "walks", "nodes"):
-        scratch.drop(name)
+    scratch.keep("templates")
     return found
 
 
