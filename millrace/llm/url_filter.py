@@ -66,13 +66,13 @@ def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int =
     levels = F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"t{k}").alias("t"), (F.col(f"t{k - 1}") if k else F.lit("")).alias("up")) for k in range(depth + 1)))
     walks = scratch.save(held.select("host", "path", "labelled", "bad", F.explode(F.filter(levels, lambda x: x["t"].isNotNull())).alias("v")).select("host", "path", "labelled", "bad", "v.*"), "walks")
     nodes = scratch.save(walks.groupBy("k", "t", "up").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")), "nodes")
-    all_ = nodes.filter("k = 0").agg(F.sum("n").alias("_gn"), F.sum("b").alias("_gb"))
+    n_all, bad_all = nodes.filter("k = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
     upper = nodes.select((F.col("k") + 1).alias("k"), F.col("t").alias("up"), F.col("n").alias("un"), F.col("b").alias("ub"))
-    beside = nodes.join(upper, ["k", "up"], "left").crossJoin(F.broadcast(all_))  # one row of totals
-    un, ub = F.coalesce("un", "_gn"), F.coalesce("ub", "_gb")
+    beside = nodes.join(upper, ["k", "up"], "left")
+    un, ub = F.coalesce("un", F.lit(n_all)), F.coalesce("ub", F.lit(bad_all))
     rate = ub / F.greatest(un, F.lit(1))
     far = F.abs(F.col("b") / F.greatest(F.col("n"), F.lit(1)) - rate) > z * F.sqrt(rate * (1 - rate) / F.greatest(F.col("n"), F.lit(1)) + F.lit(1e-12))
-    prior = F.col("_gb") / F.greatest(F.col("_gn"), F.lit(1))
+    prior = F.lit(bad_all / max(n_all, 1))
     kept = beside.filter((F.col("k") == 0) | (F.col("n") > 0) & far).select("k", "t", F.col("n").alias("_n"), F.col("b").alias("_b"), ((F.col("b") + strength * prior) / (F.col("n") + strength)).alias("_purity"))
     deepest = walks.select("host", "path", "k", "t").join(kept, ["k", "t"]).groupBy("host", "path").agg(F.max(F.struct("k", "t", "_n", "_b", "_purity")).alias("v"))
     found = deepest.select("host", "path", F.col("v.t").alias("template"), F.col("v._n").alias("labelled"), F.col("v._b").alias("bad"), F.round("v._purity", 12).alias("purity"), ((F.col("v._n") > 0) & (F.col("v._purity") >= reject)).alias("rejected"))
