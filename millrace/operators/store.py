@@ -93,8 +93,8 @@ def merge_parts(base: DataFrame, part: DataFrame, key: str, keep: list[str], ord
 
 def append_log(base: DataFrame, part: DataFrame, id: str = "id") -> DataFrame:
     """base and the part's rows above base's highest id; a part that is a copy of base adds nothing."""
-    high = base.agg(F.coalesce(F.max(id), F.lit(-1)).alias("_high"))
-    return base.unionByName(part.crossJoin(F.broadcast(high)).filter(F.col(id) > F.col("_high")).drop("_high"))  # one row
+    high = base.agg(F.coalesce(F.max(id), F.lit(-1))).first()[0]
+    return base.unionByName(part.filter(F.col(id) > high))
 
 
 def cleanup(store: DataFrame, scans: DataFrame, brands: DataFrame, labels: list[str], now: Column) -> DataFrame:
