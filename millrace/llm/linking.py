@@ -59,20 +59,27 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
 
 
 def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], first_slot: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """(node, comp) of every node with a verified link. keys: (key, slot, node); signatures: (node, further columns);
+    """(node, comp) of every node with a verified link. keys: (key, slot, node), and the signature's columns too if they
+    are narrow: then a block of two whose signatures are far apart ends where it is found. signatures: (node, further columns);
     near(a, b) and first_slot(a, b): whether two signatures under these aliases are near, and their first common slot;
     verify(pairs of a and b, name): those that link."""
     keys = keys.repartition("key")  # one shuffle for the sizes and for the members
-    sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node", "key")).alias("by_hash")).filter("lo != hi")
-    met = scratch.save(keys.join(sizes, "key").join(signatures, "node"), "met")
+    carried = [c for c in keys.columns if c not in ("key", "slot", "node")]
+    ends = (*(F.min_by(c, "node").alias(f"_lo_{c}") for c in carried), *(F.max_by(c, "node").alias(f"_hi_{c}") for c in carried))
+    sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node", "key")).alias("by_hash"), F.count("*").alias("members"), *ends).filter("lo != hi")
+    if carried:
+        x, y = (F.struct(*(F.col(f"_{end}_{c}").alias(c) for c in carried)) for end in ("lo", "hi"))
+        sizes = sizes.select("key", "lo", "hi", "by_hash", "members", x.alias("x"), y.alias("y")).filter((F.col("members") > 2) | near("x", "y")).drop("x", "y")
+    met = keys.join(sizes, "key")
+    met = scratch.save(met if carried else met.join(signatures, "node"), "met")
     leaders = F.array_distinct(F.array("lo", "by_hash"))
     first = met.select("node", F.explode(leaders).alias("leader")).filter("node != leader")
     first = first.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
     first = scratch.save(_near(first, signatures, near), "first")
     links = scratch.save(verify(first, "first"), "links1")
     known = components(scratch, links, "first")
-    # the members that still lie apart
-    own = met.drop("lo", "hi", "by_hash").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    # the members that still lie apart; the two of a block of two have met
+    own = met.filter("members > 2").drop("lo", "hi", "by_hash", "members").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     apart = own.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 != c2").select("key")
     left = scratch.save(own.join(apart, "key", "left_semi"), "apart")
     x, y = left.alias("x"), left.alias("y")
