@@ -58,9 +58,9 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     return leaves.unionByName(held.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], first_slot: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """(node, comp) of every node with a verified link. keys: (key, slot, node), and the signature's columns too if they
-    are narrow: then a block of two whose signatures are far apart ends where it is found. signatures: (node, further columns);
+def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], first_slot: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame], early: Callable[[str, str], Column] | None = None) -> DataFrame:
+    """(node, comp) of every node with a verified link. keys: (key, slot, node), and columns for early if it
+    is given: then a block of two that early(a, b) refuses ends where it is found. signatures: (node, further columns);
     near(a, b) and first_slot(a, b): whether two signatures under these aliases are near, and their first common slot;
     verify(pairs of a and b, name): those that link."""
     keys = keys.repartition("key")  # one shuffle for the sizes and for the members
@@ -69,9 +69,9 @@ def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callabl
     sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node", "key")).alias("by_hash"), F.count("*").alias("members"), *ends).filter("lo != hi")
     if carried:
         x, y = (F.struct(*(F.col(f"_{end}_{c}").alias(c) for c in carried)) for end in ("lo", "hi"))
-        sizes = sizes.select("key", "lo", "hi", "by_hash", "members", x.alias("x"), y.alias("y")).filter((F.col("members") > 2) | near("x", "y")).drop("x", "y")
+        sizes = sizes.select("key", "lo", "hi", "by_hash", "members", x.alias("x"), y.alias("y")).filter((F.col("members") > 2) | early("x", "y")).drop("x", "y")
     met = keys.join(sizes, "key")
-    met = scratch.save(met if carried else met.join(signatures, "node"), "met")
+    met = scratch.save(met.drop(*carried).join(signatures, "node"), "met")
     leaders = F.array_distinct(F.array("lo", "by_hash"))
     first = met.select("node", F.explode(leaders).alias("leader")).filter("node != leader")
     first = first.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()

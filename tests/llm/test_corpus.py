@@ -157,6 +157,30 @@ def test_fuzzy_lines(spark):
     assert got[1][0] == 0 and got[2] == (0, far) and got[3] == ((1, "") if alike else (0, base))
 
 
+def test_lines_with_a_changed_word_meet(spark):
+    """One word in six to twelve changed, lost or put in: far beyond three bits of a SimHash of few words."""
+    import random
+
+    r, docs = random.Random(3), []
+    for i in range(60):
+        w = [f"{r.choice('bdgklm')}{r.choice('aeiou')}{r.randrange(10**6)}" for _ in range(6 + i % 7)]
+        other, at = list(w), r.randrange(len(w))
+        other[at : at + 1] = [["zq" + w[at][2:5] + "xx"], [], [w[at], "and"]][i % 3]
+        docs += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.report(spark, spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    shares = [1 - levenshtein(docs[2 * i][1], docs[2 * i + 1][1]) / max(len(docs[2 * i][1]), len(docs[2 * i + 1][1])) for i in range(60)]
+    assert min(shares) >= 0.8 and all(got[2 * i] == 0 for i in range(60)) and sum(got.values()) >= 57
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        before, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            before, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, before + (x != y))
+    return row[-1]
+
+
 def _simhash(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     got = line_dedup.occurrences(df).first()["simhash"]
