@@ -182,6 +182,14 @@ def test_long_lines_by_edit_similarity(spark):
     assert dict(pairs.select("i", line_dedup.similar(F.col("x"), F.col("y"))).collect()) == {1: False, 2: True}
 
 
+def test_lines_without_blanks(spark):
+    """A passage in a script without blanks: its copy and its near copy go, as does a repeated line of few long words."""
+    base = "".join(chr(0x4E00 + (i * i * 31 + i * 7) % 5000) for i in range(120))
+    near, other = base[:60] + "日" + base[61:], "".join(chr(0x4E00 + (i * i * 17 + i * 5) % 5000) for i in range(120))
+    docs = spark.createDataFrame([(1, base), (2, base), (3, near), (4, other), (5, "Subscribe to newsletters"), (6, "subscribe to newsletters!")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.report(spark, docs).collect()} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 1}
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
