@@ -1,10 +1,10 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 A document's set is that of its 5-word shingles. Its signature has VALUES minimum hashes, of which 16 bits are kept,
-four to a chunk. Two signatures at a distance (number of differing values) of at most DISTANCE must, by the pigeonhole,
-differ in at most one value in some chunk; so each chunk is entered in the index four times, each time without one of its
-values, and all pairs within the distance meet. At a resemblance of 0.75 the distance is more than DISTANCE once in about
-3,000 pairs. Before a pair leaves the join it must also pass an odd sketch, ODD_BITS bits of which each shingle flips one:
+four to a chunk. Each chunk is entered in the index four times, each time without one of its values, so two signatures meet
+if they differ in at most one value in some chunk. At a resemblance of 0.75 a chunk fails with a probability of 0.262, and all
+twelve once in ten million pairs; the distance (number of differing values) is more than DISTANCE once in a hundred million,
+and both are rarer above 0.75. Before a pair leaves the join it must also pass an odd sketch, ODD_BITS bits of which each shingle flips one:
 the bits in which two sketches differ are never more than the shingles in which the sets differ, so no pair at the
 threshold is refused, and few others pass. Candidates are confirmed on the full sets (64-bit hashes of all shingles), and
 components follow.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import linking, shared
 
-WORDS, VALUES, DISTANCE = 5, 40, 19
+WORDS, VALUES, DISTANCE = 5, 48, 30
 CHUNKS = VALUES // 4
 ODD_BITS = 1024
 SIGNATURE = [*(f"s{k}" for k in range(CHUNKS)), *(f"o{k}" for k in range(ODD_BITS // 64))]
