@@ -1,10 +1,11 @@
 """Verified links within blocks, and the connected components they make, without all pairs of a block.
 
-Blocks are rows (key, slot, node); the slot tells which part of the signature the key is made of. First every member meets
-two members of its block (the smallest, and one by a hash that differs from block to block); what is verified joins
-components. Then only members of a block that still lie in different components meet, each pair that is near enough by its
-signature, and in the first of its common blocks alone. So every pair of a block is either verified, or refused, or lies in one
-component already: no link between components is lost, while a block of many alike members costs a multiple of its size.
+A node has an array of keys; the nodes that share a key are a block. Blocks are found by partial aggregation: the smallest
+and the largest member and the number of members. A block of two is a pair at once. In a larger one every member first meets the
+smallest and the largest; what is verified joins components. Then only members of a block that still lie in different
+components meet. So every pair of a block is either verified, or refused, or lies in one component already: no link between
+components is lost, while a block of many alike members costs a multiple of its size. A key with a third of all nodes is one
+row after partial aggregation; the joins by key, node and component are plain ones that AQE splits where they are skewed.
 
 Each step is a table in the shared folder; components never pass the driver.
 """
@@ -13,13 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch
 
-#: Rows of 8 to 16 bytes that may be broadcast, after a count; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Rows of 8 to 32 bytes that may be broadcast, after a count; beyond it the join shuffles.
+BROADCAST_ROWS = 100_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -28,27 +29,26 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
-    """(node, comp): comp is the smallest node of node's component. edges: (a, b), any order. Alternates large-star and
-    small-star steps, each a grouping by node with partial aggregation, until the edges are stars."""
+    """(node, comp): comp is the smallest node of node's component. edges: (a, b), any order. A round ties all smaller
+    neighbours of a node to the smallest, then takes each lower end's own smallest in its place, until the edges are stars.
+    Edges point from the larger node to the smaller, so the many leaves of a hub are many groups, not one."""
 
     def oriented(df: DataFrame) -> DataFrame:
         return df.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    def large(e: DataFrame) -> DataFrame:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-
-    def little(e: DataFrame) -> DataFrame:
-        least = e.groupBy("a").agg(F.min("b").alias("m"))
-        return e.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    def round_(e: DataFrame) -> DataFrame:
+        told = e.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        ends = F.when(F.col("b") == F.col("m"), F.array("a")).otherwise(F.array("a", "b"))
+        tied = told.select(F.explode(ends).alias("a"), F.col("m").alias("b")).distinct()
+        up = tied.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("_m"))
+        return tied.join(up, F.col("b") == F.col("_a"), "left").select("a", F.coalesce("_m", "b").alias("b")).distinct()
 
     state = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first())
     held = scratch.save(oriented(edges), f"{name}-edges0")
     before, step = state(held), 0
     while before[0]:
         step += 1
-        held = scratch.save(oriented(little(oriented(large(held)))), f"{name}-edges{step}")
+        held = scratch.save(round_(held), f"{name}-edges{step}")
         scratch.drop(f"{name}-edges{step - 1}")
         now = state(held)
         if now == before:
@@ -58,33 +58,30 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     return leaves.unionByName(held.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def link(scratch: Scratch, keys: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], first_slot: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame], early: Callable[[str, str], Column] | None = None) -> DataFrame:
-    """(node, comp) of every node with a verified link. keys: (key, slot, node), and columns for early if it
-    is given: then a block of two that early(a, b) refuses ends where it is found. signatures: (node, further columns);
-    near(a, b) and first_slot(a, b): whether two signatures under these aliases are near, and their first common slot;
+def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """(node, comp) of every node with a verified link. keyed: (node, keys), keys being an array of longs that aren't another of
+    the node's; signatures: (node, further columns); both saved tables. near(x, y): whether two rows under these aliases may link by their signatures;
     verify(pairs of a and b, name): those that link."""
-    keys = keys.repartition("key")  # one shuffle for the sizes and for the members
-    carried = [c for c in keys.columns if c not in ("key", "slot", "node")]
-    ends = (*(F.min_by(c, "node").alias(f"_lo_{c}") for c in carried), *(F.max_by(c, "node").alias(f"_hi_{c}") for c in carried))
-    sizes = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("node", F.xxhash64("node", "key")).alias("by_hash"), F.count("*").alias("members"), *ends).filter("lo != hi")
-    if carried:
-        x, y = (F.struct(*(F.col(f"_{end}_{c}").alias(c) for c in carried)) for end in ("lo", "hi"))
-        sizes = sizes.select("key", "lo", "hi", "by_hash", "members", x.alias("x"), y.alias("y")).filter((F.col("members") > 2) | early("x", "y")).drop("x", "y")
-    met = keys.join(sizes, "key")
-    met = scratch.save(met.drop(*carried).join(signatures, "node"), "met")
-    leaders = F.array_distinct(F.array("lo", "by_hash"))
-    first = met.select("node", F.explode(leaders).alias("leader")).filter("node != leader")
-    first = first.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+    keyed = keyed.select("node", F.explode("keys").alias("key"))
+    blocks = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("members")).filter("members > 1")
+    blocks = scratch.save(blocks, "blocks")
+    large = blocks.filter("members > 2")
+    members = scratch.save(keyed.join(small(large), "key").select("key", "node", "lo", "hi"), "members")
+    ends = members.select("node", F.explode(F.array("lo", "hi")).alias("leader")).filter("node != leader")
+    first = blocks.filter("members = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b"))
+    first = first.unionByName(ends.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))).distinct()
     first = scratch.save(_near(first, signatures, near), "first")
     links = scratch.save(verify(first, "first"), "links1")
     known = components(scratch, links, "first")
     # the members that still lie apart; the two of a block of two have met
-    own = met.filter("members > 2").drop("lo", "hi", "by_hash", "members").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    own = members.select("key", "node").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     apart = own.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 != c2").select("key")
-    left = scratch.save(own.join(apart, "key", "left_semi"), "apart")
+    left = scratch.save(own.join(apart, "key", "left_semi").join(signatures, "node"), "apart")
+    if left.isEmpty():
+        return scratch.save(known, "components")
     x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & near("x", "y") & (F.col("x.slot") == first_slot("x", "y")))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).join(first, ["a", "b"], "left_anti")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & near("x", "y"))
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = scratch.save(verify(scratch.save(pairs, "second"), "second"), "links2")
     return scratch.save(components(scratch, links.unionByName(more), "all"), "components")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +9,10 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), a new local one."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.conf.get("millrace.shared.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("millrace.shared.dir", found)
-    return found.rstrip("/")
+    """The folder of spark.checkpoint.dir; where that is unset, as in tests, a folder under the warehouse, which driver
+    and executors share as well."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/millrace-scratch").rstrip("/")
 
 
 class Scratch:
@@ -29,7 +25,10 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+        found = self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+        del df
+        self.spark._jvm.java.lang.System.gc()  # Spark removes the shuffle files of plans that the driver no longer holds
+        return found
 
     def _at(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
