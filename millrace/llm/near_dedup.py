@@ -14,17 +14,19 @@ large groups of near copies are handled by `linking`. Memory: one Arrow batch of
 The shingle arrays of candidates alone are stored. Node ids and shingles are 64-bit hashes.
 
 Nulls: a null or wordless text has an empty set and is linked with nothing; a null doc_id counts as larger than all in
-choosing a component's id. Repeated rows are copies. Other columns pass through keep(). No documents give no rows.
+choosing a component's id. Rows are told apart by doc_id and text, so an id with two texts is two documents; repeated rows are
+copies. Other columns pass through keep(), whatever their names. No documents give no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import linking, shared
@@ -32,7 +34,6 @@ from . import linking, shared
 WORDS, VALUES, DISTANCE = 5, 48, 30
 CHUNKS = VALUES // 4
 ODD_BITS = 1024
-SIGNATURE = [*(f"s{k}" for k in range(CHUNKS)), *(f"o{k}" for k in range(ODD_BITS // 64))]
 _RANDOM = np.random.default_rng(20240501)
 _A = _RANDOM.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64)
@@ -84,26 +85,36 @@ def _odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8)).view(np.int64).reshape(len(sets), -1)
 
 
+def _longs(rows: np.ndarray) -> pa.Array:
+    """A list of longs for each row of a matrix."""
+    n, k = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), pa.array(np.ascontiguousarray(rows).ravel(), pa.int64()))
+
+
 def sets_table(documents: DataFrame, size: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set, null if empty), s0.. (the signature's chunks), o0.. (the odd sketch)."""
+    """doc_id, hash (of the text), n_shingles, node (hash of the set, null if empty), s (the signature's chunks), o (the odd
+    sketch)."""
 
     def rows(batches):
         for batch in batches:
-            ids, texts, at = batch.column("doc_id"), batch.column("text"), 0
+            texts, at = batch.column("text"), 0
             while at < len(texts):
                 sets, total, first = [], 0, at
                 while at < len(texts) and total < 500_000:
                     sets.append(shingles(texts[at].as_py(), size))
                     total += len(sets[-1])
                     at += 1
-                signature = np.hstack((_signatures(sets), _odd_sketches(sets)))
                 node = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) if len(x) else None for x in sets]
-                arrays = [ids.slice(first, at - first), pa.array([len(x) for x in sets], pa.int64()), pa.array(node, pa.int64()), *(pa.array(np.ascontiguousarray(x)) for x in signature.T)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                given = [batch.column(x).slice(first, at - first) for x in ("doc_id", "hash")]
+                arrays = [*given, pa.array([len(x) for x in sets], pa.int64()), pa.array(node, pa.int64()), _longs(_signatures(sets)), _longs(_odd_sketches(sets))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "hash", "n_shingles", "node", "s", "o"])
+
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _row_hash().alias("hash"), "text")
+    return docs.mapInArrow(rows, "doc_id long, hash long, n_shingles long, node long, s array<long>, o array<long>")
+
 
-    names = ["doc_id", "n_shingles", "node", *SIGNATURE]
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(rows, ", ".join(f"{x} long" for x in names))
+def _row_hash() -> Column:
+    return F.xxhash64("text")
 
 
 def _arrays(documents: DataFrame, size: int) -> DataFrame:
@@ -119,79 +130,86 @@ def _arrays(documents: DataFrame, size: int) -> DataFrame:
 
 
 def index_keys(nodes: DataFrame) -> DataFrame:
-    """(key, slot, node): each chunk without each of its four values; the slot is 4 * chunk + value."""
+    """(node, keys): each chunk without each of its four values."""
     masks = [~(0xFFFF << (16 * e)) & 0xFFFFFFFFFFFFFFFF for e in range(4)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*(F.xxhash64(F.lit(4 * c + e), F.col(f"s{c}").bitwiseAND(F.lit(signed[e]).cast("long"))) for c in range(CHUNKS) for e in range(4)))
-    return nodes.select(F.posexplode(keys).alias("slot", "key"), "node")
+    keys = F.array(*(F.xxhash64(F.lit(4 * c + e), F.get("s", F.lit(c)).bitwiseAND(F.lit(signed[e]).cast("long"))) for c in range(CHUNKS) for e in range(4)))
+    return nodes.select("node", keys.alias("keys"))
 
 
-def _differing(a: str, b: str, chunk: int) -> Column:
-    """A bit at 0, 16, 32 and 48 for each of the chunk's values that differs."""
-    x = F.col(f"{a}.s{chunk}").bitwiseXOR(F.col(f"{b}.s{chunk}"))
-    for by in (8, 4, 2, 1):
-        x = x.bitwiseOR(F.shiftrightunsigned(x, by))
-    return x.bitwiseAND(F.lit(0x0001000100010001).cast("long"))
+def _bits(a: Column, b: Column, of: Callable[[Column], Column]) -> Column:
+    """The sum of set bits of of(x XOR y) over two arrays of longs."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(of(x.bitwiseXOR(y)))), F.lit(0), lambda n, x: n + x)
 
 
-def distance(a: str, b: str) -> Column:
-    """The number of differing 16-bit values of two signatures."""
-    out = F.lit(0)
-    for k in range(CHUNKS):
-        out = out + F.bit_count(_differing(a, b, k))
-    return out
+def _values(x: Column) -> Column:
+    """A bit for each 16-bit value that isn't zero, by the carry out of it."""
+    every, one = F.lit(0x0000FFFF0000FFFF).cast("long"), F.lit(0x0000000100000001).cast("long")
+    carry = lambda v: F.shiftrightunsigned(v.bitwiseAND(every) + every, 16).bitwiseAND(one)
+    return carry(x).bitwiseOR(F.shiftleft(carry(F.shiftrightunsigned(x, 16)), 1))
 
 
-def first_slot(a: str, b: str) -> Column:
-    """The first slot under which two signatures share a key: of the first chunk with at most one differing value, that
-    value, or 0 if none differs."""
-    out = F.when(F.lit(False), F.lit(0))
-    for k in range(CHUNKS):
-        d = _differing(a, b, k)
-        out = out.when(d == 0, F.lit(4 * k))
-        for e in range(4):
-            out = out.when(d == F.lit(1 << (16 * e)).cast("long"), F.lit(4 * k + e))
-    return out
+def distance(a: Column, b: Column) -> Column:
+    """The number of differing 16-bit values of two signatures."""
+    return _bits(a, b, _values)
 
 
-def groups(spark: SparkSession, documents: DataFrame, size: int = WORDS, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document; links at 100 * intersection >= percent * union."""
+def _decided(spark: SparkSession, documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, hash, n_shingles, linkable, component_id, kept, and wins: whether the row is the one of its group that keep() keeps."""
     scratch = shared.Scratch(spark, "near-dedup")
     sets = scratch.save(sets_table(documents, size), "sets")
-    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in SIGNATURE))
+    nodes = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")).alias("first"), F.first("n_shingles").alias("n"), F.first("s").alias("s"), F.first("o").alias("o"))
     nodes = scratch.save(nodes, "nodes")
+    keyed = scratch.save(index_keys(nodes), "keyed")
 
     def near(a: str, b: str) -> Column:
         least, most = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-        odd = F.lit(0)
-        for k in range(ODD_BITS // 64):
-            odd = odd + F.bit_count(F.col(f"{a}.o{k}").bitwiseXOR(F.col(f"{b}.o{k}")))
+        odd = _bits(F.col(f"{a}.o"), F.col(f"{b}.o"), lambda x: x)
         # 100 * both >= percent * all, with both + all = the sizes' sum and all - both >= odd
         differ = (100 + percent) * odd <= (100 - percent) * (least + most)
-        return (100 * least >= percent * most) & differ & (distance(a, b) <= DISTANCE)
+        return (100 * least >= percent * most) & differ & (distance(F.col(f"{a}.s"), F.col(f"{b}.s")) <= DISTANCE)
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = scratch.save(nodes.join(involved, "node", "left_semi").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_node")), f"{name}-wanted")
-        asked = linking.small(wanted)
-        texts = documents.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
+        wanted = nodes.join(involved, "node", "left_semi").select(F.col("first.doc_id").alias("_doc"), F.col("first.hash").alias("_hash"))
+        asked = linking.small(scratch.save(wanted, f"{name}-wanted"))
+        held = documents.select("doc_id", "text", _row_hash().alias("hash"))
+        texts = held.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("hash") == F.col("_hash")), "left_semi")
         arrays = scratch.save(_arrays(texts, size).dropDuplicates(["node"]), f"{name}-arrays")
         a, b = arrays.select(F.col("node").alias("a"), F.col("items").alias("x")), arrays.select(F.col("node").alias("b"), F.col("items").alias("y"))
         both = F.size(F.array_intersect("x", "y")).cast("long")
         return pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
-    comp = linking.link(scratch, index_keys(nodes), nodes.drop("doc_id"), near, first_slot, verify)
-    least = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    ids = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = scratch.save(least.join(ids, "comp").select("node", "component_id"), "named")
-    found = sets.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = scratch.save(found.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")), "groups")
+    comp = linking.link(scratch, keyed, nodes.select("node", "n", "s", "o"), near, verify)
+    least = nodes.select("node", "first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    ids = least.groupBy("comp").agg(F.min("first").alias("winner"))
+    named = scratch.save(least.join(ids, "comp").select("node", "winner"), "named")
+    found = sets.select("doc_id", "hash", "n_shingles", "node").join(named, "node", "left")
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("winner.doc_id"))
+    alone = F.col("node").isNull() | (F.col("doc_id").eqNullSafe(own) & F.col("hash").eqNullSafe(F.col("winner.hash")))
+    out = found.select("doc_id", "hash", "n_shingles", F.col("node").isNotNull().alias("linkable"), own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), alone.alias("wins"))
+    out = scratch.save(out, "groups")
     scratch.keep("groups")
     return out
 
 
+def groups(spark: SparkSession, documents: DataFrame, size: int = WORDS, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document; links at 100 * intersection >= percent * union."""
+    return _decided(spark, documents, size, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep(spark: SparkSession, documents: DataFrame, size: int = WORDS, percent: int = 75) -> DataFrame:
-    """The documents that are the smallest doc_id of their group."""
-    gone = groups(spark, documents, size, percent).filter("NOT kept").select("doc_id").distinct()
-    return documents.join(linking.small(gone), "doc_id", "left_anti")
+    """One row of each group: that of the smallest doc_id, of rows with equal ids that of the smallest hash of its text, and of
+    rows with equal ids and texts any one. Rows without words all stay."""
+    decided = _decided(spark, documents, size, percent)
+    key = ("_doc", "_hash")
+    of = lambda df: df.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc"), F.coalesce("hash", F.lit(0).cast("long")).alias("_hash"))
+    names = documents.columns
+    held = documents.toDF(*(f"c{i}" for i in range(len(names)))).withColumns({"_doc": F.coalesce(F.col(f"c{names.index('doc_id')}").cast("string"), F.lit("")), "_hash": F.coalesce(F.xxhash64(f"c{names.index('text')}"), F.lit(0).cast("long"))})
+    gone = linking.small(of(decided.filter("NOT wins")).distinct())
+    stay = held.join(gone, [*key], "left_anti")
+    repeated = of(decided.filter("wins AND linkable")).groupBy(*key).count().filter("count > 1").select(*key)
+    if not repeated.isEmpty():  # rows equal in id and text: one of them
+        many = stay.join(repeated, [*key], "left_semi").withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("_hash"))).filter("_k = 1").drop("_k")
+        stay = stay.join(repeated, [*key], "left_anti").unionByName(many)
+    return stay.drop(*key).toDF(*names)

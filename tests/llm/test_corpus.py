@@ -159,13 +159,119 @@ def test_line_dedup(spark, documents, rows, empty):
     assert line_dedup.dedup(spark, empty).count() == 0
 
 
+def test_near_dedup_keeps_rows_not_ids(spark):
+    """Ids that repeat with other texts, null ids, clashing names: no text is lost, and no copy stays."""
+    a, u, v, w = prose(31, 60), prose(32, 60), prose(33, 60), prose(34, 60)
+    rows = [(1, a), (None, a), (5, u), (9, u), (5, a), (None, v), (None, w), (7, v), (8, None), (8, None), (3, w), (3, w)]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, _doc string, node string")
+    kept = near_dedup.keep(spark, docs)
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, a), (5, u), (7, v), (8, None), (8, None), (3, w)])
+
+
+def test_signature_distance(spark):
+    """The distance by carries is the number of 16-bit values that differ."""
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    x = r.integers(0, 3, (200, 48)).astype(np.uint16) * 0x5555
+    y = np.where(r.random((200, 48)) < 0.5, x, r.integers(0, 2**16, (200, 48))).astype(np.uint16)
+    x[0], y[0] = 0, 0xFFFF
+    rows = list(zip(x.view(np.int64).tolist(), y.view(np.int64).tolist(), (x != y).sum(1).tolist(), strict=True))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, n int")
+    from pyspark.sql import functions as F
+
+    assert df.filter(near_dedup.distance(F.col("a"), F.col("b")) != F.col("n")).count() == 0
+
+
+def line_norm(line):
+    return re.sub(r"[\W_]+", " ", line.lower()).strip()
+
+
+def brute_lines(rows):
+    """{row number: text} by comparing all lines: of each group of alike lines the first stays."""
+    places = [(i, k) for i, (_, t) in sorted(enumerate(rows), key=lambda x: (x[1][0] is not None, x[1][0] or 0)) for k in range(len((t or "").split("\n")))]
+    norm = {(i, k): line_norm((rows[i][1] or "").split("\n")[k]) for i, k in places}
+    texts = sorted({n for n in norm.values() if n})
+    up = {n: n for n in texts}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for x in texts:
+        for y in texts:
+            if x < y and min(len(x), len(y)) >= line_dedup.MIN_CHARS and min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and root(x) != root(y) and levenshtein(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9:
+                up[root(y)] = root(x)
+    seen, out = set(), {}
+    for i, k in places:
+        n = norm[i, k]
+        if not n or root(n) not in seen:
+            out.setdefault(i, []).append((rows[i][1] or "").split("\n")[k])
+        if n:
+            seen.add(root(n))
+    return {i: "\n".join(out.get(i, [])) if t is not None else None for i, (_, t) in enumerate(rows)}
+
+
 def test_fuzzy_lines(spark):
-    base = " ".join(prose(5, 300, 10**6).split(" "))
-    near, far = base.replace(base.split(" ")[7], "changed", 1), prose(6, 300, 10**6)
-    docs = spark.createDataFrame([(3, base), (1, "short line\n" + near + "\nshort line"), (2, far)], "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in line_dedup.report(spark, docs).collect()}
-    alike = bin(_simhash(spark, base) ^ _simhash(spark, near)).count("1") <= line_dedup.DISTANCE
-    assert got[1][0] == 0 and got[2] == (0, far) and got[3] == ((1, "") if alike else (0, base))
+    """Texts of several lines with words changed, lost and put in, against a comparison of all lines with all."""
+    import random
+
+    r, rows = random.Random(8), []
+    for i in range(30):
+        lines = prose(600 + i, 40, 9 + i % 5).split("\n")
+        rows.append((2 * i, "\n".join(lines)))
+        for k, x in enumerate(lines):
+            w = x.split(" ")
+            at = r.randrange(len(w))
+            w[at : at + 1] = [["changed"], [], [w[at], "put"], [w[at][:-1] + "q"]][k % 4]
+            lines[k] = " ".join(w)
+        rows.append((2 * i + 1, "\n".join([*lines, f"short {i % 3}", "---", ""])))
+    rows += [(None, "a line of its own in a row without an id\nshort 1"), (100, None), (101, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"]): r["text"] for r in line_dedup.report(spark, docs).collect()}
+    want = brute_lines(rows)
+    assert got == {rows[i][0]: t for i, t in want.items()}
+
+
+def test_line_removal_by_row(spark):
+    """Ids that repeat with other texts, null ids, rows that repeat, and columns with the names used inside."""
+    x, y = "some line that two of the rows have in common", "another line that only a single row of all has"
+    rows = [(7, x + "\nfirst of seven is this one"), (7, y + "\n" + x), (None, "one row without an id at all, truly"), (None, x + "\nthe other row without an id"), (8, "twice the same row\nreally"), (8, "twice the same row\nreally")]
+    docs = spark.createDataFrame([(i, t, "d", "g") for i, t in rows], "doc_id long, text string, _doc string, _gone string")
+    got = line_dedup.dedup(spark, docs)
+    assert got.columns == [*docs.columns, "_n_lines", "_n_removed"]
+    texts = Counter(r["text"] for r in got.collect())
+    assert sum(t.count(x) for t in texts.elements()) == 1 and sum(t.count(y) for t in texts.elements()) == 1
+    assert texts["twice the same row\nreally"] == 1 and texts[""] == 1
+    for line in ("first of seven is this one", "one row without an id at all, truly", "the other row without an id"):
+        assert sum(line in t for t in texts.elements()) == 1
+    assert line_dedup.keep(spark, docs).columns == docs.columns
+
+
+def test_line_recall(spark):
+    """Real lines with a word or a letter changed meet and are linked in at least nine of ten cases."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(4)
+    lines = sorted({line_norm(x) for (t,) in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() for x in (t or "").split("\n")})
+    lines = [x for x in lines if 16 <= len(x) <= 3000]
+    pairs = []
+    for x in lines:
+        w = x.split(" ")
+        at = r.randrange(len(w))
+        for changed in ("zebra", w[at][:-1] + ("q" if w[at][-1] != "q" else "z")):
+            y = " ".join([*w[:at], changed, *w[at + 1 :]])
+            if levenshtein(x, y, 0.2 * max(len(x), len(y))) <= 0.2 * max(len(x), len(y)):
+                pairs.append((len(pairs), x, y))
+    df = spark.createDataFrame(pairs, "i long, x string, y string")
+    keys = lambda c: line_dedup.occurrences(df.select(F.col("i").alias("doc_id"), F.col(c).alias("text"))).select("doc_id", F.explode("keys").alias("k"))
+    met = keys("x").join(keys("y"), ["doc_id", "k"]).select("doc_id").distinct().count()
+    assert len(pairs) > 500 and met >= 0.97 * len(pairs)
+    assert df.filter(~line_dedup.similar(F.col("x"), F.col("y"))).count() == 0
 
 
 def test_lines_with_a_changed_word_meet(spark):
@@ -201,7 +307,12 @@ def test_lines_without_blanks(spark):
     assert {r["doc_id"]: r["n_removed"] for r in line_dedup.report(spark, docs).collect()} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0, 6: 1}
 
 
-def levenshtein(a, b):
+def levenshtein(a, b, most=None):
+    """The edit distance; equal ends are cut off first."""
+    k = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[k:], b[k:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
         before, row[0] = row[0], i + 1
@@ -210,21 +321,6 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def _simhash(spark, text):
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    got = line_dedup.occurrences(df).first()["simhash"]
-    hashes = [r[0] for r in spark.createDataFrame([(w,) for w in line_words(text)], "w string").selectExpr("xxhash64(w)").collect()]
-    want = sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-    assert got == want
-    return got
-
-
-def line_words(text):
-    found = re.sub(r"[\W_]+", " ", text.lower()).strip().split(" ")
-    long = [w for w in found if len(w) >= 5]
-    return long if len(long) >= 5 else found
-
-
 def test_suffix_tree(spark, documents, rows, empty):
     got = suffix_tree_lm.score(spark, documents, context=1e-3, entry=1e-4, head=1e-4).collect()
     tokens = [(r[0], [*words(r[1]), ""]) for r in rows]
