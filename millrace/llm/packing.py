@@ -1,12 +1,15 @@
 """Best-fit packing with a swap-based local search.
 
 Documents become token ids once; only longer ones than a sequence are cut. The pieces' lengths are then packed in
-groups of about `group_size` pieces, dealt by a hash: best fit in order of decreasing length, then moves of one
+groups of about `group_size` pieces, dealt by a hash of a row number: best fit in order of decreasing length, then moves of one
 document, swaps of one for one and of two for one, each of which makes a fuller bin fuller (the sum of squared fills
 grows), from the emptiest bin, until it is empty or no exchange helps. The documents of bins that are not full meet in
 the next round, in fewer groups, until one group holds them all.
 
-Memory: a group is a bounded number of rows of a few integers; ids never move. `steps` bounds the exchanges of a group.
+The search ends where no exchange helps. Rounds end with one group, or when nine tenths of the pieces stay in open bins: then every
+group has the same mixture of lengths, and to mix them again wouldn't fill more.
+
+Memory: a group is some `group_size` rows of a few integers, dealt by row, so repeated rows are spread; ids never move.
 
 Nulls: a null text is empty and gives a piece of the end id alone. Repeated documents are packed each. No documents
 give no rows. Other columns of documents are ignored.
@@ -16,7 +19,8 @@ from __future__ import annotations
 
 import math
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from bisect import insort
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import encoder, shared
 
-CAPACITY, GROUP_SIZE, STEPS = 4096, 40_000, 20_000
+CAPACITY, GROUP_SIZE = 4096, 8_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -78,70 +82,86 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(a: list[int], b: list[int], room: int) -> tuple[int, list[int], list[int]]:
-    """The exchange that fills b most: (gain, what leaves the sorted lengths a, what leaves b)."""
-    best: tuple[int, list[int], list[int]] = (0, [], [])
-    k = bisect_right(a, room)
-    if k:
-        best = (a[k - 1], [a[k - 1]], [])
-    seen = -1
-    for y in b:
-        if y == seen or best[0] == room:
-            continue
-        seen = y
-        k = bisect_right(a, y + room)
-        if k and a[k - 1] - y > best[0]:
-            best = (a[k - 1] - y, [a[k - 1]], [y])
-        i, j = 0, len(a) - 1
-        while i < j:
-            gain = a[i] + a[j] - y
-            if gain > room:
-                j -= 1
+class _Open:
+    """Bins with room, and an index of what they offer: a bin with room r that holds a length y has y + r for whatever takes
+    y's place; with y = 0 that is a move into its room."""
+
+    def __init__(self, bins: list[list[int]], capacity: int):
+        self.capacity, self.bins, self.fill = capacity, [sorted(x) for x in bins], [sum(x) for x in bins]
+        self.offers: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by y + r: a heap of (-r, bin)
+        self.some = 0  # bit s is set if there may be an offer of s
+        for b in range(len(bins)):
+            self.show(b)
+
+    def show(self, b: int) -> None:
+        """Enters what the bin offers now. What it offered before is found out of date when it is met."""
+        room = self.capacity - self.fill[b]
+        if room and self.bins[b]:
+            for y in {0, *self.bins[b]}:
+                heappush(self.offers[y + room], (-room, b))
+                self.some |= 1 << (y + room)
+
+    def taker(self, size: int, giver: int) -> tuple[int, int, int] | None:
+        """(room left, what leaves, bin) of the exchange that leaves least room where `size` goes, something smaller leaving."""
+        at = size
+        while rest := self.some >> at:
+            at += (rest & -rest).bit_length() - 1
+            heap = self.offers[at]
+            while heap:
+                room, b = -heap[0][0], heap[0][1]
+                if b != giver and self.fill[b] == self.capacity - room and (room == at or at - room in self.bins[b]):
+                    break
+                heappop(heap)  # out of date, or the giver's, which is entered again
             else:
-                if gain > best[0]:
-                    best = (gain, [a[i], a[j]], [y])
-                i += 1
-    return best
-
-
-def local_search(bins: list[list[int]], capacity: int, steps: int = STEPS) -> list[list[int]]:
-    """Bins as sorted lists of lengths, in fewer bins if exchanges can empty some."""
-    bins = sorted((sorted(x) for x in bins), key=sum, reverse=True)
-    fills = [sum(x) for x in bins]
-    least, stuck = math.ceil(sum(fills) / capacity), 0
-    while len(bins) - stuck > 1 and len(bins) > least and steps > 0:
-        at = len(bins) - 1 - stuck  # the emptiest that isn't stuck gives
-        a, moved = bins[at], False
-        for b in range(at):
-            room = capacity - fills[b]
-            if not room:
+                self.some ^= 1 << at
                 continue
-            steps -= 1
-            gain, out, back = _exchange(a, bins[b], room)
-            if gain:
-                for x in out:
-                    del a[bisect_left(a, x)]
-                    insort(bins[b], x)
-                for y in back:
-                    del bins[b][bisect_left(bins[b], y)]
-                    insort(a, y)
-                fills[b] += gain
-                fills[at] -= gain
-                moved = True
-            if not a or steps <= 0:
-                break
-        if not a:
-            del bins[at], fills[at]
-        elif not moved:
-            stuck += 1
-        if moved:
-            stuck = 0
-            order = sorted(range(len(bins)), key=fills.__getitem__, reverse=True)
-            bins, fills = [bins[i] for i in order], [fills[i] for i in order]
-    return bins
+            if room > at - size:
+                return at - size, at - room, b
+            at += 1
+        return None
+
+    def give(self, a: int) -> int:
+        """The best exchange of bin a with another: one length moves, or one or two for a smaller one. Returns the gain, 0 if there is none."""
+        own = self.bins[a]
+        sizes = {x: (x,) for x in own} | {x + y: (x, y) for i, x in enumerate(own) for y in own[:i] if x + y <= self.capacity and x + y not in own}
+        found = [(y - x, left, x, y, b) for x in sizes if (t := self.taker(x, a)) for left, y, b in (t,) if self.fill[b] + x - y > self.fill[a]]
+        gain = 0
+        if found:
+            less, _, x, y, b = min(found)
+            gain = -less
+            for z in sizes[x]:
+                own.remove(z)
+                insort(self.bins[b], z)
+            if y:
+                self.bins[b].remove(y)
+                insort(own, y)
+            self.fill[a] -= gain
+            self.fill[b] += gain
+            self.show(b)
+        self.show(a)
+        return gain
+
+
+def local_search(bins: list[list[int]], capacity: int, least_gain: float = 1e-3) -> list[list[int]]:
+    """Bins as sorted lists of lengths, in fewer bins if exchanges can empty some. The emptiest bin gives until it is empty or no
+    exchange makes a fuller bin fuller; passes over all bins follow until one raises the sum of squared fills by no more than
+    that share, which ends them: the sum only grows."""
+    held = _Open(bins, capacity)
+    least = math.ceil(sum(held.fill) / capacity)
+    live = [b for b in range(len(bins)) if held.bins[b]]
+    squares = sum(x * x for x in held.fill)
+    while len(live) > least:
+        for a in sorted((b for b in live if held.fill[b] < capacity), key=held.fill.__getitem__):
+            while held.bins[a] and held.give(a):
+                pass
+        live = [b for b in live if held.bins[b]]
+        before, squares = squares, sum(x * x for x in held.fill)
+        if squares - before <= least_gain * before:
+            break
+    return [held.bins[b] for b in live]
 
 
-def pack_lengths(lengths: list[int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[int], list[int]]:
+def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[int]]:
     """(bin, offset) of each length."""
     bins = best_fit(lengths, capacity)
     short = [x for x in bins if sum(lengths[i] for i in x) < capacity]
@@ -150,7 +170,7 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY, steps: int = STEP
         by_length: dict[int, list[int]] = {}
         for i in (i for x in short for i in x):
             by_length.setdefault(lengths[i], []).append(i)
-        found = local_search([[lengths[i] for i in x] for x in short], capacity, steps)
+        found = local_search([[lengths[i] for i in x] for x in short], capacity)
         bins = kept + [[by_length[n].pop() for n in x] for x in found]
     number, offset = [0] * len(lengths), [0] * len(lengths)
     for b, x in enumerate(bins):
@@ -161,18 +181,18 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY, steps: int = STEP
     return number, offset
 
 
-def pack(spark: SparkSession, table: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP_SIZE, steps: int = STEPS) -> DataFrame:
+def pack(spark: SparkSession, table: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP_SIZE) -> DataFrame:
     """The rows of a table with a column length (1 to capacity), with sequence_id and offset as further columns."""
     scratch, done = shared.Scratch(spark, "packing"), []
     schema = f"{', '.join(f'`{x.name}` {x.dataType.simpleString()}' for x in table.schema)}, sequence_id long, offset long, _open boolean, _deal long"
-    left = scratch.save(table.withColumn("_deal", F.xxhash64(*[x for x, t in table.dtypes if not t.startswith("array")])), "pieces")
+    left = scratch.save(table.withColumn("_deal", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     round_, n = 0, left.count()
     names = [*table.columns, "sequence_id", "offset", "_open", "_deal"]
     while n:
         groups = max(1, math.ceil(n / group_size))
 
         def packed(key, rows):
-            number, offset = pack_lengths(rows["length"].tolist(), capacity, steps)
+            number, offset = pack_lengths(rows["length"].tolist(), capacity)
             number = np.array(number, np.int64)
             fill = np.bincount(number, rows["length"].to_numpy(), minlength=int(number.max(initial=-1)) + 1)
             return rows.drop(columns="_group").assign(sequence_id=number + (int(key[0]) << 28) + (round_ << 57), offset=offset, _open=fill[number] < capacity)[names]

@@ -94,6 +94,48 @@ def test_local_search_saves_bins():
     assert packing.best_fit([], 10) == []
 
 
+def best_possible(lengths, capacity):
+    """The fewest bins, by trying all."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(k, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(rooms)
+            return
+        for r in {r for r in rooms if r >= lengths[k]}:
+            at = rooms.index(r)
+            place(k + 1, [*rooms[:at], r - lengths[k], *rooms[at + 1 :]])
+        place(k + 1, [*rooms, capacity - lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_best_possible():
+    import random
+
+    r, bins, best, fit = random.Random(2), 0, 0, 0
+    for _ in range(120):
+        lengths = [r.randrange(15, 60) for _ in range(10)]
+        number, offset = packing.pack_lengths(lengths, 100)
+        for b in set(number):
+            inside = sorted((o, n) for o, n, x in zip(offset, lengths, number, strict=True) if x == b)
+            assert inside[0][0] == 0 and all(o + n == p for (o, n), (p, _) in zip(inside, inside[1:], strict=False)) and sum(inside[-1]) <= 100
+        bins, best, fit = bins + len(set(number)), best + best_possible(lengths, 100), fit + len(packing.best_fit(lengths, 100))
+    assert best <= bins <= fit and bins <= 1.01 * best
+
+
+def test_packing_search_ends_only_where_nothing_helps():
+    """Lengths of a third to a half of the capacity, of which best fit leaves much room."""
+    import random
+
+    r = random.Random(1)
+    lengths = [r.randrange(1200, 2000) for _ in range(8000)]
+    assert max(packing.pack_lengths(lengths)[0]) + 1 <= 3520 < len(packing.best_fit(lengths, 4096))
+
+
 def test_token_counts_cache(spark, documents, rows, empty, tmp_path):
     import sentencepiece
 
