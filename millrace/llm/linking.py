@@ -60,13 +60,14 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
 
 def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """(node, comp) of every node with a verified link. keyed: (node, keys), keys being an array of longs that aren't another of
-    the node's; signatures: (node, further columns); both saved tables. near(x, y): whether two rows under these aliases may link by their signatures;
+    the node's; signatures: (node, further columns); both saved tables, keyed under that name: it is dropped once it is read. near(x, y): whether two rows under these aliases may link by their signatures;
     verify(pairs of a and b, name): those that link."""
     keyed = keyed.select("node", F.explode("keys").alias("key"))
     blocks = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("members")).filter("members > 1")
     blocks = scratch.save(blocks, "blocks")
     large = blocks.filter("members > 2")
     members = scratch.save(keyed.join(small(large), "key").select("key", "node", "lo", "hi"), "members")
+    scratch.drop("keyed")
     ends = members.select("node", F.explode(F.array("lo", "hi")).alias("leader")).filter("node != leader")
     first = blocks.filter("members = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b"))
     first = first.unionByName(ends.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))).distinct()

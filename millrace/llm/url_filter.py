@@ -92,8 +92,9 @@ def judge(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules=RULES,
 
 
 def labels_of_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """page_id, bad: a page's path names its document; that is bad if its quality is 0 or it is toxic."""
+    """page_id, bad: a page's path names its document by its first number, if that is one of 64 bits; that is bad if its quality is 0 or
+    it is toxic."""
     _, path = parts(F.col("url"))
-    named = pages.select("page_id", F.regexp_extract(path, "([0-9]{1,18})", 1).alias("d")).filter("d != ''").select("page_id", F.col("d").cast("long").alias("doc_id"))
+    named = pages.select("page_id", F.regexp_extract(path, "([0-9]+)", 1).alias("d")).select("page_id", F.col("d").try_cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     return named.join(labels.select("doc_id", F.coalesce(bad, F.lit(False)).alias("bad")), "doc_id").select("page_id", "bad")
