@@ -54,10 +54,19 @@ def several_brands(points: DataFrame, brand: str) -> DataFrame:
 
 
 def brand_summary(points: DataFrame) -> DataFrame:
-    place = F.when(text("ilce") != "", F.struct("il", "ilce"))
-    il = F.when(text("il") != "", F.col("il"))
-    distinct = [F.count_distinct(F.when(test, x)).alias(name) for x, test, name in ((il, F.lit(True), "n_il"), (place, F.lit(True), "n_ilce"), (il, sells(), "n_il_sales"), (il, serves(), "n_il_service"), (place, sells(), "n_ilce_sales"), (place, serves(), "n_ilce_service"))]
-    return points.groupBy("marka").agg(*role_columns(sells(), serves()), *distinct)
+    """Role counts of each brand and its provinces and districts, in all and by role; a row without a province has none, and one
+    without a district no district. Two levels: a place once with its roles, then a province once, so nothing is expanded."""
+    s, v = sells(), serves()
+    counts = [F.count_if(s & ~v).alias("only_sales"), F.count_if(v & ~s).alias("only_service"), F.count_if(s & v).alias("both"), F.count("*").alias("total")]
+    places = points.groupBy("marka", text("il").alias("il"), text("ilce").alias("ilce")).agg(*counts)
+    sums = [F.sum(c).alias(c) for c in ("only_sales", "only_service", "both", "total")]
+    sold, served = F.col("only_sales") + F.col("both") > 0, F.col("only_service") + F.col("both") > 0
+    district = F.col("ilce") != ""
+    provinces = places.groupBy("marka", "il").agg(F.count_if(district).alias("d"), F.count_if(district & sold).alias("ds"), F.count_if(district & served).alias("dv"), *sums)
+    named = F.col("il") != ""
+    out = provinces.groupBy("marka").agg(*sums, F.count_if(named).alias("n_il"), F.sum("d").alias("n_ilce"), F.count_if(named & sold).alias("n_il_sales"), F.count_if(named & served).alias("n_il_service"), F.sum("ds").alias("n_ilce_sales"), F.sum("dv").alias("n_ilce_service"))
+    points_of = [(F.col(x) + F.col("both")).alias(y) for x, y in (("only_sales", "sales_points"), ("only_service", "service_points"))]
+    return out.select("marka", "only_sales", "only_service", "both", *points_of, "total", "n_il", "n_ilce", "n_il_sales", "n_il_service", "n_ilce_sales", "n_ilce_service")
 
 
 def breakdown(points: DataFrame, by: str, top: int | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered queries over the test tables, and the SQL that must agree with them."""
 
-from . import points, records
+from . import points, records, screens
 
-QUERIES: dict = {**points.QUERIES, **records.QUERIES}
-ORACLES: dict = {**points.ORACLES, **records.ORACLES}
+QUERIES: dict = {**points.QUERIES, **records.QUERIES, **screens.QUERIES}
+ORACLES: dict = {**points.ORACLES, **records.ORACLES, **screens.ORACLES}
