@@ -3,8 +3,11 @@
 Paths are counted per (host, path) before anything else. Level by level, the segments below a node are generalised: a
 segment that is one of many (`min_children`) and rare among them (`max_share`) becomes a wildcard, digits as `*` within
 what surrounds them, other text as `*` as a whole. A node whose labelled rate is within `z` standard errors of its
-parent's is merged with its like-minded siblings into the parent; a path belongs to the deepest node on its way that is
-not merged. A template is rejected when its smoothed share of bad labels is at least `reject`.
+parent's is merged into the parent. Siblings that stand apart from their parent are merged with one another: in the order of their
+rates (in BINS classes of equal width on the arcsine scale, so that a parent of any number of children is a short array), neighbours
+are pooled as long as a two-proportion test doesn't tell them apart. A path belongs to the deepest node on its way that is not merged
+into its parent, and takes the counts of that node's branch. A template is rejected when its branch's smoothed share of bad labels is
+at least `reject`. A branch of several siblings is named by the first, with the number of the others.
 
 All are DataFrame operations; a host with a third of the rows is pre-aggregated, and joins on it can be split by AQE.
 Segments after the `depth`-th are one last segment. The tree grows with distinct paths, not with pages.
@@ -15,6 +18,8 @@ rejected. Repeated pages are each judged. Without labels all templates are allow
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +27,7 @@ from . import shared
 
 #: (verdict, host, path) of the given rules.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-DEPTH, MIN_CHILDREN, MAX_SHARE, Z, STRENGTH, REJECT = 6, 8, 0.05, 1.96, 8.0, 0.5
+DEPTH, MIN_CHILDREN, MAX_SHARE, Z, STRENGTH, REJECT, BINS = 6, 8, 0.05, 1.96, 8.0, 0.5, 16
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -56,6 +61,33 @@ def templates(scratch: shared.Scratch, paths: DataFrame, depth: int = DEPTH, min
     return out.drop("_s")
 
 
+def branches(apart: DataFrame, z: float = Z) -> DataFrame:
+    """apart (k, t, up, n, b; n > 0) with branch, bn, bb: the name and the counts of the branch of like siblings."""
+    at = F.floor(F.asin(F.sqrt(F.col("b") / F.col("n"))) * (2 * BINS / math.pi))
+    told = apart.withColumn("bin", F.least(at, F.lit(BINS - 1)).cast("int"))
+    classes = told.groupBy("k", "up", "bin").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.count("*").alias("c"), F.min("t").alias("t"))
+    runs = classes.groupBy("k", "up").agg(F.sort_array(F.collect_list(F.struct(F.col("bin").alias("lo"), F.col("bin").alias("hi"), "n", "b", "c", "t"))).alias("runs"))
+
+    def alike(x: Column, y: Column) -> Column:
+        p = (x["b"] + y["b"]) / (x["n"] + y["n"])
+        return F.abs(x["b"] / x["n"] - y["b"] / y["n"]) <= z * F.sqrt(p * (1 - p) * (1 / x["n"] + 1 / y["n"]) + F.lit(1e-12))
+
+    def pooled(x: Column, y: Column) -> Column:
+        sums = [(x[c] + y[c]).alias(c) for c in ("n", "b", "c")]
+        return F.struct(x["lo"].alias("lo"), y["hi"].alias("hi"), *sums, F.least(x["t"], y["t"]).alias("t"))
+
+    def merge(done: Column, y: Column) -> Column:
+        x = F.get(done, F.size(done) - 1)
+        both = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(pooled(x, y)))
+        return F.when((F.size(done) > 0) & alike(x, y), both).otherwise(F.concat(done, F.array(y)))
+
+    empty = F.array().cast("array<struct<lo:int,hi:int,n:bigint,b:bigint,c:bigint,t:string>>")
+    named = runs.select("k", "up", F.explode(F.aggregate("runs", empty, merge)).alias("r"))
+    name = F.when(F.col("r.c") == 1, F.col("r.t")).otherwise(F.concat("r.t", F.lit(" +"), F.col("r.c") - 1))
+    named = named.select("k", "up", F.explode(F.sequence("r.lo", "r.hi")).alias("bin"), name.alias("branch"), F.col("r.n").alias("bn"), F.col("r.b").alias("bb"))
+    return told.join(named, ["k", "up", "bin"]).drop("bin")
+
+
 def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int = DEPTH, z: float = Z, strength: float = STRENGTH, reject: float = REJECT, **more) -> DataFrame:
     """host, path, template, labelled, bad, purity, rejected of every distinct (host, path). pages: page_id, host, path;
     labels: page_id, bad (boolean); its repeated rows count each."""
@@ -73,9 +105,12 @@ def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int =
     rate = ub / F.greatest(un, F.lit(1))
     far = F.abs(F.col("b") / F.greatest(F.col("n"), F.lit(1)) - rate) > z * F.sqrt(rate * (1 - rate) / F.greatest(F.col("n"), F.lit(1)) + F.lit(1e-12))
     prior = F.lit(bad_all / max(n_all, 1))
-    kept = beside.filter((F.col("k") == 0) | (F.col("n") > 0) & far).select("k", "t", F.col("n").alias("_n"), F.col("b").alias("_b"), ((F.col("b") + strength * prior) / (F.col("n") + strength)).alias("_purity"))
-    deepest = walks.select("host", "path", "k", "t").join(kept, ["k", "t"]).groupBy("host", "path").agg(F.max(F.struct("k", "t", "_n", "_b", "_purity")).alias("v"))
-    found = deepest.select("host", "path", F.col("v.t").alias("template"), F.col("v._n").alias("labelled"), F.col("v._b").alias("bad"), F.round("v._purity", 12).alias("purity"), ((F.col("v._n") > 0) & (F.col("v._purity") >= reject)).alias("rejected"))
+    hosts = beside.filter("k = 0").select("k", "t", F.col("t").alias("branch"), F.col("n").alias("_n"), F.col("b").alias("_b"))
+    apart = scratch.save(beside.filter((F.col("k") > 0) & (F.col("n") > 0) & far).select("k", "t", "up", "n", "b"), "apart")
+    kept = hosts.unionByName(branches(apart, z).select("k", "t", "branch", F.col("bn").alias("_n"), F.col("bb").alias("_b")))
+    kept = kept.withColumn("_purity", (F.col("_b") + strength * prior) / (F.col("_n") + strength))
+    deepest = walks.select("host", "path", "k", "t").join(kept, ["k", "t"]).groupBy("host", "path").agg(F.max(F.struct("k", "branch", "_n", "_b", "_purity")).alias("v"))
+    found = deepest.select("host", "path", F.col("v.branch").alias("template"), F.col("v._n").alias("labelled"), F.col("v._b").alias("bad"), F.round("v._purity", 12).alias("purity"), ((F.col("v._n") > 0) & (F.col("v._purity") >= reject)).alias("rejected"))
     found = scratch.save(found, "templates")
     scratch.keep("templates")
     return found

@@ -397,3 +397,66 @@ def test_url_filter(spark):
     assert got[70]["template"] in ("s.test/ads", "s.test/ads/*.html")
     assert url_filter.judge(spark, pages.limit(0), labels).count() == 0
     assert {r["verdict"] for r in url_filter.judge(spark, pages.filter("page_id > 8"), labels.limit(0)).collect()} == {"allow"}
+
+
+def brute_templates(pages, bad):
+    """host, path -> (template, labelled, bad) by a restatement of the rule for segments that are no wildcards."""
+    z, counts, n_all, b_all = 1.96, defaultdict(lambda: [0, 0]), 0, 0
+    walk = lambda h, p: [h, *(h + "/" + "/".join(p[1:].split("/")[: i + 1]) for i in range(len(p[1:].split("/"))))]
+    for i, h, p in pages:
+        for t in walk(h, p):
+            counts[t][0] += i in bad
+            counts[t][1] += bad.get(i, False)
+    children = defaultdict(list)
+    for t in counts:
+        if "/" in t:
+            up = t.rsplit("/", 1)[0]
+            (n, b), (un, ub) = counts[t], counts[up]
+            rate = ub / max(un, 1)
+            if n and abs(b / n - rate) > z * math.sqrt(rate * (1 - rate) / n + 1e-12):
+                children[up].append(t)
+    found = {}
+    for up, ts in children.items():
+        bins = defaultdict(list)
+        for t in ts:
+            n, b = counts[t]
+            bins[min(15, math.floor(math.asin(math.sqrt(b / n)) * 32 / math.pi))].append(t)
+        runs = []
+        for _, own in sorted(bins.items()):
+            n, b = (sum(counts[t][j] for t in own) for j in (0, 1))
+            if runs:
+                old, m, a = runs[-1]
+                p = (a + b) / (m + n)
+                if abs(a / m - b / n) <= z * math.sqrt(p * (1 - p) * (1 / m + 1 / n) + 1e-12):
+                    runs[-1] = (old + own, m + n, a + b)
+                    continue
+            runs.append((own, n, b))
+        for own, n, b in runs:
+            for t in own:
+                found[t] = (min(own) + (f" +{len(own) - 1}" if len(own) > 1 else ""), n, b)
+    return {(h, p): next((found[t] for t in reversed(walk(h, p)) if t in found), (h, *counts[h])) for _, h, p in pages}
+
+
+def test_url_branches(spark):
+    """Siblings that resemble each other are one branch, on random labels, as a restatement has it; few labels of many bad siblings reject together."""
+    import random
+
+    r, pages, bad = random.Random(8), [], {}
+    for host in ("a.test", "b.test", "c.test"):
+        for k in range(7):
+            share = (0.02, 0.05, 0.5, 0.55, 0.9, 0.95, 0.3)[k]
+            for leaf in range(3):
+                for _ in range(r.randrange(2, 30)):
+                    i = len(pages)
+                    pages.append((i, host, f"/s{'abcdefg'[k]}/l{'xyz'[leaf]}"))
+                    if r.random() < 0.8:
+                        bad[i] = r.random() < share
+    pages += [(len(pages), "c.test", "/new/one"), (len(pages) + 1, "d.test", "/")]
+    labels = spark.createDataFrame(list(bad.items()), "page_id long, bad boolean")
+    got = url_filter.tree(spark, spark.createDataFrame(pages, "page_id long, host string, path string"), labels).collect()
+    assert {(x["host"], x["path"]): (x["template"], x["labelled"], x["bad"]) for x in got} == brute_templates(pages, bad)
+    assert any(" +" in x["template"] for x in got)
+    few = [(i, "e.test", f"/{c}/p") for i, c in enumerate("abcdef" * 3)] + [(100 + i, "e.test", f"/good{'uvwxyz'[i % 6]}/p") for i in range(60)]
+    labels = spark.createDataFrame([(i, i < 100) for i, *_ in few], "page_id long, bad boolean")
+    said = url_filter.tree(spark, spark.createDataFrame(few, "page_id long, host string, path string"), labels, strength=8.0).collect()
+    assert {x["path"]: x["rejected"] for x in said} == {p: i < 100 for i, _, p in few}
