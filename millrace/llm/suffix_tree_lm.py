@@ -1,15 +1,23 @@
 """Probabilistic suffix tree over words: learning from a corpus, and scoring of whole texts.
 
-The root is the distribution of single tokens, c + 0.5 over N + 0.5 (V + 1). A context of 1 to DEPTH tokens is a
-candidate if it makes up CONTEXT of all training tokens or more; of the symbols that follow it, those that with it make up
-ENTRY or more, and LEAST occurrences, are listed. Its distribution gives listed symbols their count less DISCOUNT, and the
-rest of the mass to all others as its parent (the longest kept suffix) has them. It is kept if the count-weighted divergence from the parent,
-with each token's own occurrence left out, exceeds GAIN nats. A token is scored by the longest kept suffix before it.
+The root is the distribution of single tokens, c + 0.5 over N + 0.5 (V + 1); words that are rarer than HEAD share theirs equally. The
+contexts of a token are the 1 to ORDER tokens before it in its text. They are held in two parts.
 
-Size: there are at most 1/CONTEXT contexts and 1/ENTRY listed symbols a level, and 1/HEAD words that make up HEAD or more;
-those bounds hold for any corpus, and only these parts go to the driver and to all executors. The counts of all words stay
-distributed: tokens of rarer words are joined with them by word, after a text's equal words are summed. Each level is one
-pass over the training texts with partial counts; nothing else is gathered.
+The head has the contexts that make up CONTEXT of all training tokens or more: at most 1/CONTEXT a level, with 1/ENTRY listed
+symbols a level and 1/HEAD words. Those bounds hold for any corpus, and only this part goes to the driver and to all executors. Of the
+symbols that follow a context, those that with it make up ENTRY or more, and HEAD_LEAST occurrences, are listed and have their count less
+DISCOUNT; the rest of the mass goes to all others as the parent (the longest kept suffix) has them. It is kept if the count-weighted
+divergence from the parent, with each token's own occurrence left out, exceeds HEAD_GAIN nats.
+
+All other contexts are dealt into buckets, each token by its shortest context that the head hasn't, so a bucket has all tokens of
+that context and of the longer ones with the same end, and no context has more than CONTEXT of all tokens. They grow with the corpus:
+each context of LEAST training tokens or more, with all symbols that follow it, is retained if the same divergence exceeds GAIN. A
+retained one has P(s) = (max(n(s) - DISCOUNT, 0) + DISCOUNT * kinds * parent(s)) / n. A token is scored by its longest retained context.
+
+Work: one pass of the training texts for words and for each level of the head; then one pass of all texts deals their tokens, as compressed columns
+of a batch and bucket, and what the buckets change goes back to the batch's texts. The number of buckets grows with the corpus, a bucket
+doesn't. Memory: a batch of _BATCH_WORDS words (or one text), a bucket. Counts of words that the head hasn't are joined by word for the
+base score, after a text's equal words are summed. Words of the buckets are 32-bit hashes, contexts 64-bit ones.
 
 Nulls: a null text is empty (the end alone); a null doc_id is training data. Repeated rows are texts of their own. Without
 training texts the root is uniform over the one unknown symbol. Other columns are ignored.
@@ -23,16 +31,19 @@ from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
 
-DEPTH, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 2, 5e-5, 1e-6, 4e-7, 4, 0.75, 10.0
+ORDER, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 4, 5e-5, 1e-6, 4e-7, 2, 0.75, 1.0
+HEAD_LEAST, HEAD_GAIN = 4, 10.0
 END = b""
-_FLUSH_WORDS, _FLUSH_KEYS = 400_000, 4_000_000
+_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS = 400_000, 4_000_000, 2_000_000, 1_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -206,7 +217,7 @@ def _test(tree: Tree, level: Level, depth: int, totals: np.ndarray, suffixes: li
     level.kept = (np.bincount(context, own, n) + unlisted * level.back) * math.log(10) > gain
 
 
-def learn(spark: SparkSession, training: DataFrame, vocabulary: DataFrame, depth: int = DEPTH, context: float = CONTEXT, entry: float = ENTRY, head: float = HEAD, least: int = LEAST, discount: float = DISCOUNT, gain: float = GAIN) -> Tree:
+def learn(spark: SparkSession, training: DataFrame, vocabulary: DataFrame, depth: int = ORDER, context: float = CONTEXT, entry: float = ENTRY, head: float = HEAD, least: int = HEAD_LEAST, discount: float = DISCOUNT, gain: float = HEAD_GAIN) -> Tree:
     """The tree of training (text), with vocabulary = word_counts(training), saved."""
     assert entry >= head and context >= head and least >= 2
     n, v = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -243,32 +254,177 @@ def _suffix(tree: Tree, suffixes: list[np.ndarray], first: np.ndarray, last: np.
 
 
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, n: bigint>>"
+_KINDS = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))]
+_SHIPPED = "batch long, bucket long, kind int, data binary"
+
+
+def rare_log(tree: Tree) -> float:
+    """log10 of the root's probability of a word without a symbol: all of these, and one unknown word, share what the others leave."""
+    rest = tree.n - tree.counts.sum() + 0.5 * (tree.v - len(tree.words)) + 0.5
+    return float(np.log10(rest / tree.total / (tree.v - len(tree.words) + 1)))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
 
+def _record(depth: int) -> np.dtype:
+    """A token: its symbol, the depth words before it (0: none), its log10 probability by the head, how many of the words the
+    head's contexts have, whether it is a training token, and its text's number in the batch."""
+    return np.dtype([("sym", "<u4"), *((f"w{d}", "<u4") for d in range(1, depth + 1)), ("p", "<f4"), ("head", "u1"), ("train", "u1"), ("doc", "<u2")])
 
-def _scored(spark: SparkSession, documents: DataFrame, tree: Tree) -> DataFrame:
-    """What the tree itself tells of each text; rare: words whose root probability is still to be added."""
+
+def _pack(table: np.ndarray) -> bytes:
+    """A table's columns one after another, compressed."""
+    raw = b"".join(np.ascontiguousarray(table[x]).tobytes() for x in table.dtype.names)
+    return len(table).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    raw, at = pa.decompress(data[8:], n * kind.itemsize, codec="zstd", asbytes=True), 0
+    table = np.empty(n, kind)
+    for x in kind.names:
+        table[x] = np.frombuffer(raw, kind[x], n, at)
+        at += n * kind[x].itemsize
+    return table
+
+
+def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, buckets: int) -> DataFrame:
+    """Of kind 0: a batch of texts with what the head tells of them; of kind 1: a batch's tokens of one bucket. A token's bucket is that
+    of its shortest context that the head hasn't, so all its longer contexts are there too."""
     shipped = spark.sparkContext.broadcast(tree)
+    names = [x.split()[0] for x in SCORED.split(", ")[:8]]
+
+    def told(tree, symbols, root, low, batch, docs, held, texts):
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        words = [w for t in texts for w in t]
+        ids = _ids(symbols, words)
+        logs, open_ = tree.token_logs(ids, root)  # no context has an end in it, so none reaches into the text before
+        logs[open_] += low
+        starts = np.cumsum(sizes) - sizes
+        rare = np.flatnonzero(ids == 0)
+        own = np.repeat(np.arange(len(texts)), sizes)
+        counts: dict[int, Counter] = {}
+        full = ids.copy()
+        if len(rare):
+            full[rare] = tree.size + np.fromiter((xxhash.xxh32_intdigest(words[i]) for i in rare), np.int64, len(rare)) % (2**32 - tree.size)
+            for i in rare:
+                counts.setdefault(int(own[i]), Counter())[words[i]] += 1
+        lists = [[{"word": w, "n": n} for w, n in counts.get(i, {}).items()] for i in range(len(texts))]
+        known = np.add.reduceat(ids != 0, starts, dtype=np.int64)
+        columns = [(batch << 16) + np.arange(len(texts)), docs, held, sizes, known, np.add.reduceat(root[ids], starts), np.add.reduceat(logs, starts), lists]
+        made = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, _KINDS, strict=True)], names=names)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, made.schema) as out:
+            out.write_batch(made)
+        yield batch, batch % buckets, 0, sink.getvalue().to_pybytes()
+        table = np.zeros(len(ids), _record(order))
+        table["sym"], table["p"], table["doc"], table["train"] = full, logs, own, ~np.array(held, bool)[own]
+        place = np.arange(len(ids)) - starts[own]
+        for d in range(1, order + 1):
+            table[f"w{d}"][d:] = np.where(place[d:] >= d, full[:-d], 0) if d < len(ids) else 0
+        for d in range(1, len(tree.levels) + 1):
+            table["head"] += tree.contexts(ids, d) >= 0
+        key, live = np.zeros(len(ids), np.uint64), np.zeros(len(ids), bool)
+        context = np.zeros(len(ids), np.uint64)
+        for d in range(1, order + 1):
+            context = _mixed(context * np.uint64(0x9E3779B97F4A7C15) + table[f"w{d}"])
+            first = (table["head"] == d - 1) & (table[f"w{d}"] > 0)
+            key[first], live[first] = context[first], True
+        table, key = table[live], key[live]
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        by = np.lexsort((table["sym"], table["w2"] if order > 1 else table["w1"], table["w1"], bucket))
+        table, bucket = table[by], bucket[by]
+        ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
+        for start, end in zip(np.concatenate(([0], ends))[:-1], ends, strict=True):
+            yield batch, int(bucket[start]), 1, _pack(table[start:end])
 
     def rows(batches):
         tree, symbols, root = _symbols(shipped)
-        row = TaskContext.get().partitionId() << 40
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))]
-        names = [x.split()[0] for x in SCORED.split(", ")[:8]]
-        for batch in batches:
-            out: list[list] = [[] for _ in kinds]
-            for doc, held, text in zip(batch.column("doc_id"), batch.column("held_out"), batch.column("text"), strict=True):
-                words = words_of(text.as_py())
-                ids = _ids(symbols, words)
-                logs, open_ = tree.token_logs(ids, root)
-                rare = ids == 0
-                assert (open_ == rare).all()
-                counts = Counter(words[i] for i in np.flatnonzero(rare))
-                row += 1
-                for x, y in zip(out, (row, doc.as_py(), held.as_py(), len(ids), int((~rare).sum()), float(root[ids].sum()), float(logs.sum()), [{"word": w, "n": n} for w, n in counts.items()]), strict=True):
-                    x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
-
-    return documents.mapInArrow(rows, SCORED)
+        low, batch = rare_log(tree), TaskContext.get().partitionId() << 24
+
+        def out(rows):
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["batch", "bucket", "kind", "data"])
+
+        docs, held, texts, size = [], [], [], 0
+        for given in batches:
+            for doc, h, text in zip(given.column("doc_id"), given.column("held_out"), given.column("text"), strict=True):
+                docs.append(doc.as_py()), held.append(h.as_py()), texts.append(words_of(text.as_py()))
+                size += len(texts[-1])
+                if size > _BATCH_WORDS or len(texts) == 2**16:
+                    yield out(told(tree, symbols, root, low, batch, docs, held, texts))
+                    docs, held, texts, size, batch = [], [], [], 0, batch + 1
+        if texts:
+            yield out(told(tree, symbols, root, low, batch, docs, held, texts))
+
+    return documents.mapInArrow(rows, _SHIPPED)
+
+
+def refined(table: np.ndarray, order: int, least: int, discount: float, gain: float) -> np.ndarray:
+    """The probability of each token of a bucket by its longest retained context. A context is retained if, each training token
+    being left out in turn, its own distribution tells them better than its parent's by more than `gain` nats in all."""
+    p = 10.0 ** table["p"].astype(np.float64)
+    context = np.zeros(len(table), np.uint64)
+    for d in range(1, order + 1):
+        context = _mixed(context * np.uint64(0x9E3779B97F4A7C15) + table[f"w{d}"])
+        live = np.flatnonzero((table["head"] < d) & (table[f"w{d}"] > 0))
+        _, own = np.unique(context[live], return_inverse=True)
+        total = np.bincount(own, table["train"][live])
+        often = total[own] >= least if len(live) else np.zeros(0, bool)
+        live, own = live[often], own[often]
+        if not len(live):
+            continue
+        pair = _mixed(context[live] + table["sym"][live] * np.uint64(0xD6E8FEB86659FD93))
+        _, at, back = np.unique(pair, return_index=True, return_inverse=True)
+        c, n, up = own[at], np.bincount(back, table["train"][live]), p[live[at]]
+        kinds = np.bincount(c, n > 0, len(total))
+        k, t = kinds[c], total[c]
+        left_out = np.where(n >= 2, n - 1 - discount + discount * k * up, discount * (k - 1) * up) / (t - 1)
+        better = np.where(n > 0, n * (np.log(np.where(n > 0, left_out, 1.0)) - np.log(up)), 0.0)
+        kept = np.bincount(c, better, len(total)) > gain
+        fresh = (np.maximum(n - discount, 0.0) + discount * k * up) / t
+        chosen = kept[c][back]
+        p[live[chosen]] = fresh[back[chosen]]
+    return p
+
+
+def _scored(spark: SparkSession, documents: DataFrame, tree: Tree, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, gain: float = GAIN) -> DataFrame:
+    """SCORED of each text; rare: its words that have no symbol."""
+    buckets = max(64, -(-tree.n // _BUCKET_WORDS))  # grows with the corpus, a bucket doesn't
+    kind, change = _record(order), np.dtype([("doc", "<u2"), ("by", "<f4")])
+
+    def tail(given: pd.DataFrame) -> pd.DataFrame:
+        tokens = given[given["kind"] == 1]
+        tables = [_unpack(x, kind) for x in tokens["data"]]
+        if not tables:
+            return given
+        table = np.concatenate(tables)
+        by = (np.log10(refined(table, order, least, discount, gain)) - table["p"]).astype(np.float32)
+        out, at = [], 0
+        for batch, own in zip(tokens["batch"], tables, strict=True):
+            here = by[at : at + len(own)]
+            at += len(own)
+            moved = np.zeros(int((here != 0).sum()), change)
+            moved["doc"], moved["by"] = own["doc"][here != 0], here[here != 0]
+            if len(moved):
+                moved = moved[np.argsort(moved["doc"], kind="stable")]
+                out.append((batch, 0, 2, _pack(moved)))
+        return pd.concat([given[given["kind"] == 0], pd.DataFrame(out, columns=["batch", "bucket", "kind", "data"])])
+
+    def texts(given: pd.DataFrame) -> pd.DataFrame:
+        docs = pa.ipc.open_stream(given.loc[given["kind"] == 0, "data"].iloc[0]).read_all().to_pandas()
+        more = np.zeros(len(docs))
+        for x in given.loc[given["kind"] == 2].sort_values("data")["data"]:  # in one order, so sums are the same in each run
+            moved = _unpack(x, change)
+            more += np.bincount(moved["doc"], moved["by"].astype(np.float64), len(docs))
+        docs["score"] += more
+        return docs
+
+    found = _tokens(spark, documents, tree, order, buckets).groupBy("bucket").applyInPandas(tail, _SHIPPED)
+    return found.groupBy("batch").applyInPandas(texts, SCORED)
 
 
 def held_out():
@@ -276,19 +432,19 @@ def held_out():
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1, F.lit(False))
 
 
-def score(spark: SparkSession, documents: DataFrame, **more) -> DataFrame:
+def score(spark: SparkSession, documents: DataFrame, order: int = ORDER, least: int = LEAST, gain: float = GAIN, **head) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document, learnt from those that
-    aren't held out."""
+    aren't held out. head: thresholds of learn()."""
     scratch = shared.Scratch(spark, "suffix-tree")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
     training = docs.filter("NOT held_out")
     vocabulary = scratch.save(word_counts(training), "vocabulary")
-    tree = learn(spark, training, vocabulary, **more)
-    scored = scratch.save(_scored(spark, docs, tree), "scored")
+    tree = learn(spark, training, vocabulary, depth=order, **head)
+    scored = scratch.save(_scored(spark, docs, tree, order, least, gain=gain), "scored")
     log = F.col("r.n") * F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.5) / F.lit(tree.total))
     rare = scored.select("row", F.explode("rare").alias("r"))
     counts = vocabulary.select("word", F.col("n").alias("c"))
     told = rare.join(counts, F.col("r.word") == F.col("word"), "left").groupBy("row").agg(F.sum(log).alias("_log"), F.sum(F.when(F.col("c") > 0, F.col("r.n"))).alias("_known"))
     found = scored.drop("rare").join(told, "row", "left")
-    more_ = F.coalesce("_log", F.lit(0.0))
-    return found.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"), F.lit(tree.n).cast("long").alias("train_tokens"), (F.col("base") + more_).alias("base_score"), (F.col("score") + more_).alias("score"))
+    base = F.col("base") + F.coalesce("_log", F.lit(0.0))
+    return found.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"), F.lit(tree.n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -460,3 +460,50 @@ def test_url_branches(spark):
     labels = spark.createDataFrame([(i, i < 100) for i, *_ in few], "page_id long, bad boolean")
     said = url_filter.tree(spark, spark.createDataFrame(few, "page_id long, host string, path string"), labels, strength=8.0).collect()
     assert {x["path"]: x["rejected"] for x in said} == {p: i < 100 for i, _, p in few}
+
+
+def brute_scores(rows, order, least=2, discount=0.75, gain=1.0):
+    """A suffix tree of dictionaries, without a head: every context with its counts, retained by the same leave-one-out test."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    tokens = [(r[0], [*words(r[1]), ""]) for r in rows]
+    c, follow = Counter(), defaultdict(Counter)
+    for i, t in tokens:
+        if not held(i):
+            c.update(t)
+            for k, w in enumerate(t):
+                for d in range(1, min(order, k) + 1):
+                    follow[tuple(t[k - d : k])][w] += 1
+    n, v = sum(c.values()), len(c)
+    kept: dict = {}
+
+    def p(before, w):
+        if not before:
+            return (c[w] + 0.5) / (n + 0.5 * (v + 1))
+        up, f = p(before[1:], w), follow.get(before)
+        if not f or sum(f.values()) < least:
+            return up
+        t, k = sum(f.values()), len(f)
+        if before not in kept:
+            one = lambda x, m: (m - 1 - discount + discount * k * p(before[1:], x) if m > 1 else discount * (k - 1) * p(before[1:], x)) / (t - 1)
+            kept[before] = sum(m * (math.log(one(x, m)) - math.log(p(before[1:], x))) for x, m in f.items()) > gain
+        return (max(f[w] - discount, 0) + discount * k * up) / t if kept[before] else up
+
+    scores = Counter((i, round(sum(math.log10(p(tuple(t[max(0, k - order) : k]), w)) for k, w in enumerate(t)), 2)) for i, t in tokens)
+    return scores, c, n, v
+
+
+def test_suffix_tree_equals_dictionaries(spark):
+    """Without a head all contexts are in buckets; longer contexts help on held-out texts."""
+    texts = [prose(60 + i % 25, 60) + " " + prose(90 + i % 7, 25) for i in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(150, None), (151, ""), (152, texts[3]), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sums = {}
+    for order in (1, 4):
+        want, *_ = brute_scores(rows, order)
+        got = suffix_tree_lm.score(spark, docs, order=order, context=2.0, entry=1e-9, head=1e-9).collect()
+        left, right = sorted((r["doc_id"], r["score"]) for r in got), sorted(want.elements())
+        assert [x[0] for x in left] == [x[0] for x in right] and all(abs(x[1] - y[1]) < 0.02 for x, y in zip(left, right, strict=True))
+        sums[order] = sum(r["score"] for r in got if r["held_out"]), sum(r["base_score"] for r in got if r["held_out"])
+    assert sums[4][0] > sums[1][0] > sums[1][1]
+    with_head = suffix_tree_lm.score(spark, docs, context=1e-3, entry=1e-4, head=1e-4).filter("held_out").agg({"score": "sum"}).first()[0]
+    assert with_head > sums[4][1]
