@@ -43,7 +43,7 @@ from . import shared
 ORDER, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 4, 5e-5, 1e-6, 4e-7, 2, 0.75, 1.0
 HEAD_LEAST, HEAD_GAIN = 4, 10.0
 END = b""
-_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS = 400_000, 4_000_000, 2_000_000, 1_000_000
+_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT = 400_000, 4_000_000, 2_000_000, 1_000_000, 2**20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -88,22 +88,26 @@ class Tree:
     def symbols(self) -> dict[bytes, int]:
         return dict(zip(self.words, range(1, self.size), strict=True))
 
-    def contexts(self, ids: np.ndarray, depth: int) -> np.ndarray:
-        """For each token the number of the candidate context of `depth` tokens before it, or -1. ids: one text."""
-        out = np.full(len(ids), -1, np.int64)
-        if depth == 1:
-            out[1:] = find(self.levels[0].context_keys, ids[:-1])
-        else:
-            before = self.contexts(ids, depth - 1)
-            key = before[:-1] * self.size + ids[:-1]
-            out[1:] = np.where(before[:-1] >= 0, find(self.levels[depth - 1].context_keys, key), -1)
+    def contexts(self, ids: np.ndarray, depth: int) -> list[np.ndarray]:
+        """By depth from 1: for each token the number of the candidate context of so many tokens before it, or -1. ids: texts one after
+        another; no context has an end in it, so none reaches into the text before."""
+        out: list[np.ndarray] = []
+        for d in range(1, depth + 1):
+            own = np.full(len(ids), -1, np.int64)
+            if d == 1:
+                table = np.full(self.size, -1, np.int64)
+                table[self.levels[0].context_keys] = np.arange(len(self.levels[0].context_keys))
+                own[1:] = table[ids[:-1]]
+            else:
+                live = np.flatnonzero(out[-1][:-1] >= 0)
+                own[live + 1] = find(self.levels[d - 1].context_keys, out[-1][live] * self.size + ids[live])
+            out.append(own)
         return out
 
-    def token_logs(self, ids: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 probabilities, whether the root's of a rare word is still to be added) of one text's tokens."""
+    def token_logs(self, ids: np.ndarray, root: np.ndarray, contexts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 probabilities, whether the root's of a rare word is still to be added) of the tokens of texts one after another."""
         logs, open_ = root[ids], ids == 0
-        for depth, level in enumerate(self.levels, 1):
-            context = self.contexts(ids, depth)
+        for level, context in zip(self.levels, contexts or self.contexts(ids, len(self.levels)), strict=True):
             live = np.flatnonzero(context >= 0)
             live = live[level.kept[context[live]]]
             if not len(live):
@@ -168,7 +172,15 @@ def _pair_counts(spark: SparkSession, training: DataFrame, tree: Tree, depth: in
 
     def rows(batches):
         tree, symbols, _ = _symbols(shipped)
-        held, size = [], 0
+        held, words, size = [], [], 0
+
+        def count():
+            ids = _ids(symbols, words)
+            context = tree.contexts(ids, depth)[-1]
+            live = context >= 0
+            held.append(context[live] * tree.size + ids[live])
+            words.clear()
+            return len(held[-1])
 
         def out():
             keys, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
@@ -177,14 +189,14 @@ def _pair_counts(spark: SparkSession, training: DataFrame, tree: Tree, depth: in
 
         for batch in batches:
             for text in batch.column("text"):
-                ids = _ids(symbols, words_of(text.as_py()))
-                context = tree.contexts(ids, depth)
-                live = context >= 0
-                held.append(context[live] * tree.size + ids[live])
-                size += len(held[-1])
+                words.extend(words_of(text.as_py()))
+                if len(words) > _FLUSH_WORDS:
+                    size += count()
                 if size > _FLUSH_KEYS:
                     yield out()
                     size = 0
+        if words:
+            count()
         yield out()
 
     return training.select("text").mapInArrow(rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -270,14 +282,15 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _record(depth: int) -> np.dtype:
-    """A token: its symbol, the depth words before it (0: none), its log10 probability by the head, how many of the words the
+    """A token: its symbol, the depth words before it (0: none), its log10 probability by the head (in units of 1/_UNIT), how many of the words the
     head's contexts have, whether it is a training token, and its text's number in the batch."""
-    return np.dtype([("sym", "<u4"), *((f"w{d}", "<u4") for d in range(1, depth + 1)), ("p", "<f4"), ("head", "u1"), ("train", "u1"), ("doc", "<u2")])
+    return np.dtype([("sym", "<u4"), *((f"w{d}", "<u4") for d in range(1, depth + 1)), ("p", "<i4"), ("head", "u1"), ("train", "u1"), ("doc", "<u2")])
 
 
 def _pack(table: np.ndarray) -> bytes:
-    """A table's columns one after another, compressed."""
-    raw = b"".join(np.ascontiguousarray(table[x]).tobytes() for x in table.dtype.names)
+    """A table's columns one after another, each as its first bytes, its second bytes and so on, compressed."""
+    planes = lambda x: x.view(np.uint8).reshape(len(table), -1).T.tobytes()
+    raw = b"".join(planes(np.ascontiguousarray(table[x])) for x in table.dtype.names)
     return len(table).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -286,8 +299,9 @@ def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
     raw, at = pa.decompress(data[8:], n * kind.itemsize, codec="zstd", asbytes=True), 0
     table = np.empty(n, kind)
     for x in kind.names:
-        table[x] = np.frombuffer(raw, kind[x], n, at)
-        at += n * kind[x].itemsize
+        size = kind[x].itemsize
+        table[x] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind[x]).ravel()
+        at += n * size
     return table
 
 
@@ -297,12 +311,13 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
     shipped = spark.sparkContext.broadcast(tree)
     names = [x.split()[0] for x in SCORED.split(", ")[:8]]
 
-    def told(tree, symbols, root, low, batch, docs, held, texts):
+    def told(tree, symbols, root, rare_at, batch, docs, held, texts):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         words = [w for t in texts for w in t]
         ids = _ids(symbols, words)
-        logs, open_ = tree.token_logs(ids, root)  # no context has an end in it, so none reaches into the text before
-        logs[open_] += low
+        contexts = tree.contexts(ids, len(tree.levels))
+        logs, open_ = tree.token_logs(ids, root, contexts)
+        logs[open_] += rare_at
         starts = np.cumsum(sizes) - sizes
         rare = np.flatnonzero(ids == 0)
         own = np.repeat(np.arange(len(texts)), sizes)
@@ -321,12 +336,12 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
             out.write_batch(made)
         yield batch, batch % buckets, 0, sink.getvalue().to_pybytes()
         table = np.zeros(len(ids), _record(order))
-        table["sym"], table["p"], table["doc"], table["train"] = full, logs, own, ~np.array(held, bool)[own]
+        table["sym"], table["p"], table["doc"], table["train"] = full, np.rint(logs * _UNIT), own, ~np.array(held, bool)[own]
         place = np.arange(len(ids)) - starts[own]
         for d in range(1, order + 1):
             table[f"w{d}"][d:] = np.where(place[d:] >= d, full[:-d], 0) if d < len(ids) else 0
-        for d in range(1, len(tree.levels) + 1):
-            table["head"] += tree.contexts(ids, d) >= 0
+        for at in contexts:
+            table["head"] += at >= 0
         key, live = np.zeros(len(ids), np.uint64), np.zeros(len(ids), bool)
         context = np.zeros(len(ids), np.uint64)
         for d in range(1, order + 1):
@@ -335,7 +350,9 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
             key[first], live[first] = context[first], True
         table, key = table[live], key[live]
         bucket = (key % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((table["sym"], table["w2"] if order > 1 else table["w1"], table["w1"], bucket))
+        # within a bucket by the word before and the symbol, so that columns are in runs
+        low = np.uint64(2**20 - 1)
+        by = np.argsort((bucket.astype(np.uint64) << np.uint64(40)) | ((table["w1"] & low) << np.uint64(20)) | (table["sym"] & low))
         table, bucket = table[by], bucket[by]
         ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
         for start, end in zip(np.concatenate(([0], ends))[:-1], ends, strict=True):
@@ -366,7 +383,7 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
 def refined(table: np.ndarray, order: int, least: int, discount: float, gain: float) -> np.ndarray:
     """The probability of each token of a bucket by its longest retained context. A context is retained if, each training token
     being left out in turn, its own distribution tells them better than its parent's by more than `gain` nats in all."""
-    p = 10.0 ** table["p"].astype(np.float64)
+    p = 10.0 ** (table["p"] / _UNIT)
     context = np.zeros(len(table), np.uint64)
     for d in range(1, order + 1):
         context = _mixed(context * np.uint64(0x9E3779B97F4A7C15) + table[f"w{d}"])
@@ -394,7 +411,8 @@ def refined(table: np.ndarray, order: int, least: int, discount: float, gain: fl
 def _scored(spark: SparkSession, documents: DataFrame, tree: Tree, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, gain: float = GAIN) -> DataFrame:
     """SCORED of each text; rare: its words that have no symbol."""
     buckets = max(64, -(-tree.n // _BUCKET_WORDS))  # grows with the corpus, a bucket doesn't
-    kind, change = _record(order), np.dtype([("doc", "<u2"), ("by", "<f4")])
+    assert buckets < 2**24
+    kind, change = _record(order), np.dtype([("doc", "<u2"), ("by", "<i4")])
 
     def tail(given: pd.DataFrame) -> pd.DataFrame:
         tokens = given[given["kind"] == 1]
@@ -402,7 +420,7 @@ def _scored(spark: SparkSession, documents: DataFrame, tree: Tree, order: int =
         if not tables:
             return given
         table = np.concatenate(tables)
-        by = (np.log10(refined(table, order, least, discount, gain)) - table["p"]).astype(np.float32)
+        by = np.rint(np.log10(refined(table, order, least, discount, gain)) * _UNIT).astype(np.int32) - table["p"]
         out, at = [], 0
         for batch, own in zip(tokens["batch"], tables, strict=True):
             here = by[at : at + len(own)]
@@ -419,7 +437,7 @@ def _scored(spark: SparkSession, documents: DataFrame, tree: Tree, order: int =
         more = np.zeros(len(docs))
         for x in given.loc[given["kind"] == 2].sort_values("data")["data"]:  # in one order, so sums are the same in each run
             moved = _unpack(x, change)
-            more += np.bincount(moved["doc"], moved["by"].astype(np.float64), len(docs))
+            more += np.bincount(moved["doc"], moved["by"] / _UNIT, len(docs))
         docs["score"] += more
         return docs
 
