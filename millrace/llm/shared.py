@@ -15,6 +15,11 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/millrace-scratch").rstrip("/")
 
 
+def collect(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of plans that the driver no longer holds."""
+    spark._jvm.java.lang.System.gc()
+
+
 class Scratch:
     """Parquet tables under one new folder of the shared one. save() cuts the lineage: what follows reads the
     committed files, so a lost executor costs no more than its running tasks."""
@@ -27,7 +32,7 @@ class Scratch:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         found = self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
         del df
-        self.spark._jvm.java.lang.System.gc()  # Spark removes the shuffle files of plans that the driver no longer holds
+        collect(self.spark)
         return found
 
     def _at(self, name: str):

@@ -17,7 +17,8 @@ retained one has P(s) = (max(n(s) - DISCOUNT, 0) + DISCOUNT * kinds * parent(s))
 Work: one pass of the training texts for words and for each level of the head; then one pass of all texts deals their tokens, as compressed columns
 of a batch and bucket, and what the buckets change goes back to the batch's texts. The number of buckets grows with the corpus, a bucket
 doesn't. Memory: a batch of _BATCH_WORDS words (or one text), a bucket. Counts of words that the head hasn't are joined by word for the
-base score, after a text's equal words are summed. Words of the buckets are 32-bit hashes, contexts 64-bit ones.
+base score, after a text's equal words are summed. Words of the buckets are 32-bit hashes, contexts 64-bit ones;
+what a bucket is told and tells of a token is in units of 1/_UNIT, so a token is exact to some 6e-5 in log10.
 
 Nulls: a null text is empty (the end alone); a null doc_id is training data. Repeated rows are texts of their own. Without
 training texts the root is uniform over the one unknown symbol. Other columns are ignored.
@@ -43,7 +44,7 @@ from . import shared
 ORDER, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 4, 5e-5, 1e-6, 4e-7, 2, 0.75, 1.0
 HEAD_LEAST, HEAD_GAIN = 4, 10.0
 END = b""
-_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT = 400_000, 4_000_000, 2_000_000, 1_000_000, 2**20
+_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT = 400_000, 4_000_000, 2_000_000, 1_000_000, 2**14
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -249,6 +250,8 @@ def learn(spark: SparkSession, training: DataFrame, vocabulary: DataFrame, depth
             break
         found = _pair_counts(spark, training, tree, d).filter((F.col("key") % tree.size != 0) & (F.col("n") >= max(least, entry * n)))  # at most 1 / entry rows
         level.entry_keys, counts = _numbers(found)
+        del found
+        shared.collect(spark)
         _test(tree, level, d, totals, suffixes, counts, discount, gain)
         longer = (counts >= context * n) & (level.entry_keys % tree.size != end)
         keys, totals = level.entry_keys[longer], counts[longer]
@@ -408,7 +411,7 @@ def refined(table: np.ndarray, order: int, least: int, discount: float, gain: fl
     return p
 
 
-def _scored(spark: SparkSession, documents: DataFrame, tree: Tree, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, gain: float = GAIN) -> DataFrame:
+def _scored(spark: SparkSession, scratch: shared.Scratch, documents: DataFrame, tree: Tree, order: int = ORDER, least: int = LEAST, discount: float = DISCOUNT, gain: float = GAIN) -> DataFrame:
     """SCORED of each text; rare: its words that have no symbol."""
     buckets = max(64, -(-tree.n // _BUCKET_WORDS))  # grows with the corpus, a bucket doesn't
     assert buckets < 2**24
@@ -441,8 +444,10 @@ def _scored(spark: SparkSession, documents: DataFrame, tree: Tree, order: int =
         docs["score"] += more
         return docs
 
-    found = _tokens(spark, documents, tree, order, buckets).groupBy("bucket").applyInPandas(tail, _SHIPPED)
-    return found.groupBy("batch").applyInPandas(texts, SCORED)
+    found = scratch.save(_tokens(spark, documents, tree, order, buckets).groupBy("bucket").applyInPandas(tail, _SHIPPED), "tail")
+    scored = scratch.save(found.groupBy("batch").applyInPandas(texts, SCORED), "scored")
+    scratch.drop("tail")
+    return scored
 
 
 def held_out():
@@ -458,7 +463,7 @@ def score(spark: SparkSession, documents: DataFrame, order: int = ORDER, least:
     training = docs.filter("NOT held_out")
     vocabulary = scratch.save(word_counts(training), "vocabulary")
     tree = learn(spark, training, vocabulary, depth=order, **head)
-    scored = scratch.save(_scored(spark, docs, tree, order, least, gain=gain), "scored")
+    scored = _scored(spark, scratch, docs, tree, order, least, gain=gain)
     log = F.col("r.n") * F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.5) / F.lit(tree.total))
     rare = scored.select("row", F.explode("rare").alias("r"))
     counts = vocabulary.select("word", F.col("n").alias("c"))
