@@ -15,7 +15,8 @@ each context of LEAST training tokens or more, with all symbols that follow it,
 retained one has P(s) = (max(n(s) - DISCOUNT, 0) + DISCOUNT * kinds * parent(s)) / n. A token is scored by its longest retained context.
 
 Work: one pass of the training texts for words and for each level of the head; then one pass of all texts deals their tokens, as compressed columns
-of a batch and bucket, and what the buckets change goes back to the batch's texts. The number of buckets grows with the corpus, a bucket
+of a batch and bucket, and what the buckets change goes back to the batch's texts. That is done for a third of the buckets
+at a time, so that no more than a third of the tokens is on disk at once. documents is a saved table: each pass must see the same rows in the same partitions. The number of buckets grows with the corpus, a bucket
 doesn't. Memory: a batch of _BATCH_WORDS words (or one text), a bucket. Counts of words that the head hasn't are joined by word for the
 base score, after a text's equal words are summed. Words of the buckets are 32-bit hashes, contexts 64-bit ones;
 what a bucket is told and tells of a token is in units of 1/_UNIT, so a token is exact to some 6e-5 in log10.
@@ -44,7 +45,7 @@ from . import shared
 ORDER, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 4, 5e-5, 1e-6, 4e-7, 2, 0.75, 1.0
 HEAD_LEAST, HEAD_GAIN = 4, 10.0
 END = b""
-_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT = 400_000, 4_000_000, 2_000_000, 1_000_000, 2**14
+_FLUSH_WORDS, _FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT, _SLICES = 400_000, 4_000_000, 500_000, 1_000_000, 2**14, 3
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -308,9 +309,9 @@ def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
     return table
 
 
-def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, buckets: int) -> DataFrame:
+def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, buckets: int, part: int) -> DataFrame:
     """Of kind 0: a batch of texts with what the head tells of them; of kind 1: a batch's tokens of one bucket. A token's bucket is that
-    of its shortest context that the head hasn't, so all its longer contexts are there too."""
+    of its shortest context that the head hasn't, so all its longer contexts are there too. part: one of _SLICES parts of the buckets; the first has kind 0."""
     shipped = spark.sparkContext.broadcast(tree)
     names = [x.split()[0] for x in SCORED.split(", ")[:8]]
 
@@ -337,7 +338,8 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, made.schema) as out:
             out.write_batch(made)
-        yield batch, batch % buckets, 0, sink.getvalue().to_pybytes()
+        if part == 0:
+            yield batch, batch % buckets, 0, sink.getvalue().to_pybytes()
         table = np.zeros(len(ids), _record(order))
         table["sym"], table["p"], table["doc"], table["train"] = full, np.rint(logs * _UNIT), own, ~np.array(held, bool)[own]
         place = np.arange(len(ids)) - starts[own]
@@ -351,6 +353,7 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
             context = _mixed(context * np.uint64(0x9E3779B97F4A7C15) + table[f"w{d}"])
             first = (table["head"] == d - 1) & (table[f"w{d}"] > 0)
             key[first], live[first] = context[first], True
+        live &= key % np.uint64(buckets) % np.uint64(_SLICES) == part
         table, key = table[live], key[live]
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         # within a bucket by the word before and the symbol, so that columns are in runs
@@ -366,7 +369,7 @@ def _tokens(spark: SparkSession, documents: DataFrame, tree: Tree, order: int, b
         low, batch = rare_log(tree), TaskContext.get().partitionId() << 24
 
         def out(rows):
-            columns = list(zip(*rows, strict=True))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["batch", "bucket", "kind", "data"])
 
         docs, held, texts, size = [], [], [], 0
@@ -444,9 +447,13 @@ def _scored(spark: SparkSession, scratch: shared.Scratch, documents: DataFrame,
         docs["score"] += more
         return docs
 
-    found = scratch.save(_tokens(spark, documents, tree, order, buckets).groupBy("bucket").applyInPandas(tail, _SHIPPED), "tail")
+    found = None
+    for part in range(_SLICES):
+        own = scratch.save(_tokens(spark, documents, tree, order, buckets, part).groupBy("bucket").applyInPandas(tail, _SHIPPED), f"tail{part}")
+        found = own if found is None else found.unionByName(own)
     scored = scratch.save(found.groupBy("batch").applyInPandas(texts, SCORED), "scored")
-    scratch.drop("tail")
+    for part in range(_SLICES):
+        scratch.drop(f"tail{part}")
     return scored
 
 
