@@ -58,11 +58,12 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     return leaves.unionByName(held.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame], common: Callable[[str, str], Column] | None = None) -> DataFrame:
+def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame, str], DataFrame], common: Callable[[str, str], Column] | None = None, earliest: Callable[[str, str, str], Column] | None = None) -> DataFrame:
     """(node, comp) of every node with a verified link. keyed: (node, keys), keys being an array of longs that aren't another of
     the node's; signatures: (node, further columns); both saved tables, keyed under that name: it is dropped once it is read. near(x, y): whether two rows under these aliases may link by their signatures;
     verify(pairs of a and b, name): those that link. common(x, y): how many keys two members that still lie apart must share to
-    meet; one if it isn't given."""
+    meet; one if it isn't given. earliest(key, x, y): whether a common key is the one under which the two are to meet, so that a pair is made
+    once, not in each of its blocks."""
     keyed = keyed.select("node", F.explode("keys").alias("key"))
     blocks = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("members")).filter("members > 1")
     blocks = scratch.save(blocks, "blocks")
@@ -82,7 +83,8 @@ def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callab
     if left.isEmpty():
         return scratch.save(known, "components")
     x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & near("x", "y"))
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & near("x", "y")
+    pairs = x.join(y, meet & earliest("x.key", "x", "y") if earliest else meet)
     least = common("x", "y") if common else F.lit(1)
     pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("_n"), F.first(least).alias("_least")).filter("_n >= _least").select("a", "b")
     pairs = pairs.join(first, ["a", "b"], "left_anti")

@@ -131,12 +131,32 @@ def _arrays(documents: DataFrame, size: int) -> DataFrame:
 
 def index_keys(nodes: DataFrame) -> DataFrame:
     """(node, keys): each chunk without each of its four values."""
-    masks = [~(0xFFFF << (16 * e)) & 0xFFFFFFFFFFFFFFFF for e in range(4)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*(F.xxhash64(F.lit(4 * c + e), F.get("s", F.lit(c)).bitwiseAND(F.lit(signed[e]).cast("long"))) for c in range(CHUNKS) for e in range(4)))
+    keys = F.array(*(_key(F.lit(4 * c + e), F.get("s", F.lit(c)), _WITHOUT[e]) for c in range(CHUNKS) for e in range(4)))
     return nodes.select("node", keys.alias("keys"))
 
 
+#: Masks of a chunk without its value e, as signed longs.
+_WITHOUT = [m - (1 << 64) if m >> 63 else m for m in (~(0xFFFF << (16 * e)) & 0xFFFFFFFFFFFFFFFF for e in range(4))]
+
+
+def _key(number: Column, chunk: Column, mask: int) -> Column:
+    return F.xxhash64(number, chunk.bitwiseAND(F.lit(mask).cast("long")))
+
+
+def earliest(key: Column, a: Column, b: Column) -> Column:
+    """Whether key is that of the first chunk in which two signatures differ in one value at most, without the value that differs (the
+    first one if none does)."""
+    differing = lambda c: F.get(a, c).bitwiseXOR(F.get(b, c))
+    first = F.filter(F.sequence(F.lit(0), F.lit(CHUNKS - 1)), lambda c: F.bit_count(_values(differing(c))) <= 1)
+
+    def told(c: Column) -> Column:
+        only = lambda e: differing(c).bitwiseAND(F.lit(_WITHOUT[e]).cast("long")) == 0
+        of = lambda e: _key(4 * c + e, F.get(a, c), _WITHOUT[e])
+        return key == F.when(only(0), of(0)).when(only(1), of(1)).when(only(2), of(2)).otherwise(of(3))
+
+    return F.coalesce(F.get(F.transform(F.slice(first, 1, 1), told), F.lit(0)), F.lit(False))
+
+
 def _bits(a: Column, b: Column, of: Callable[[Column], Column]) -> Column:
     """The sum of set bits of of(x XOR y) over two arrays of longs."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(of(x.bitwiseXOR(y)))), F.lit(0), lambda n, x: n + x)
@@ -180,7 +200,7 @@ def _decided(spark: SparkSession, documents: DataFrame, size: int, percent: int)
         both = F.size(F.array_intersect("x", "y")).cast("long")
         return pairs.join(a, "a").join(b, "b").filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
-    comp = linking.link(scratch, keyed, nodes.select("node", "n", "s", "o"), near, verify)
+    comp = linking.link(scratch, keyed, nodes.select("node", "n", "s", "o"), near, verify, earliest=lambda key, a, b: earliest(F.col(key), F.col(f"{a}.s"), F.col(f"{b}.s")))
     least = nodes.select("node", "first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = least.groupBy("comp").agg(F.min("first").alias("winner"))
     named = scratch.save(least.join(ids, "comp").select("node", "winner"), "named")
