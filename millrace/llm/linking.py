@@ -2,8 +2,8 @@
 
 A node has an array of keys; the nodes that share a key are a block. Blocks are found by partial aggregation: the smallest
 and the largest member and the number of members. A block of two is a pair at once. In a larger one every member first meets the
-smallest and the largest; what is verified joins components. Then only members of a block that still lie in different
-components meet. So every pair of a block is either verified, or refused, or lies in one component already: no link between
+smallest and the largest; what is verified joins components. In rounds, those outside the largest component of their block then meet one more
+member of it, as long as that joins many. Last, all members of a block that still lie in different components meet. So every pair of a block is either verified, or refused, or lies in one component already: no link between
 components is lost, while a block of many alike members costs a multiple of its size. A key with a third of all nodes is one
 row after partial aggregation; the joins by key, node and component are plain ones that AQE splits where they are skewed.
 
@@ -12,6 +12,7 @@ Each step is a table in the shared folder; components never pass the driver.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,9 @@ from .shared import Scratch
 
 #: Rows of 8 to 32 bytes that may be broadcast, after a count; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
+#: Blocks meet further members of their largest components while the pairs left are more than ENOUGH for each member, and as long as a
+#: round leaves no more than FALL of them.
+ENOUGH, FALL = 8, 0.8
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -76,10 +80,25 @@ def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callab
     first = scratch.save(_near(first, signatures, near), "first")
     links = scratch.save(verify(first, "first"), "links1")
     known = components(scratch, links, "first")
-    # the members that still lie apart; the two of a block of two have met
-    own = members.select("key", "node").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    apart = own.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 != c2").select("key")
-    left = scratch.save(own.join(apart, "key", "left_semi").join(signatures, "node"), "apart")
+    done, left, before = first, None, None
+    for step in itertools.count(1):
+        own = members.select("key", "node").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        parts = own.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", F.lit(step))).alias("leader"))
+        # of each block: its pairs whose components differ, and its largest component with a member of it
+        blocks_ = parts.groupBy("key").agg(F.count("*").alias("comps"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"), F.max_by(F.struct("comp", "leader"), F.struct("n", "comp")).alias("top"))
+        # the members that still lie apart; the two of a block of two have met
+        apart = scratch.save(blocks_.filter("comps > 1").select("key", "top", ((F.col("all") * F.col("all") - F.col("within")) / 2).alias("pairs"), "all"), f"blocks{step}")
+        pairs, all_ = apart.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("all"), F.lit(0))).first()
+        if pairs <= ENOUGH * all_ or (before is not None and pairs > FALL * before):
+            left = own.join(apart.select("key"), "key", "left_semi")
+            break
+        before = pairs
+        meet = own.join(small(apart).select("key", "top"), "key").filter("comp != top.comp").select(F.greatest("node", "top.leader").alias("a"), F.least("node", "top.leader").alias("b")).distinct()
+        meet = scratch.save(_near(meet.join(done, ["a", "b"], "left_anti"), signatures, near), f"met{step}")
+        done = done.unionByName(meet)
+        links = links.unionByName(scratch.save(verify(meet, f"met{step}"), f"more{step}"))
+        known = components(scratch, links, f"round{step}")
+    left = scratch.save(left.join(signatures, "node"), "apart")
     if left.isEmpty():
         return scratch.save(known, "components")
     x, y = left.alias("x"), left.alias("y")
@@ -87,7 +106,7 @@ def link(scratch: Scratch, keyed: DataFrame, signatures: DataFrame, near: Callab
     pairs = x.join(y, meet & earliest("x.key", "x", "y") if earliest else meet)
     least = common("x", "y") if common else F.lit(1)
     pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("_n"), F.first(least).alias("_least")).filter("_n >= _least").select("a", "b")
-    pairs = pairs.join(first, ["a", "b"], "left_anti")
+    pairs = pairs.join(done, ["a", "b"], "left_anti")
     more = scratch.save(verify(scratch.save(pairs, "second"), "second"), "links2")
     return scratch.save(components(scratch, links.unionByName(more), "all"), "components")
 
