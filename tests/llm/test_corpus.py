@@ -169,6 +169,25 @@ def test_near_dedup_keeps_rows_not_ids(spark):
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, a), (5, u), (7, v), (8, None), (8, None), (3, w)])
 
 
+def test_pairs_are_made_once(spark):
+    """Of the keys that two signatures have in common, exactly one is the earliest; without a common key none is."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(2)
+    x = r.integers(0, 2**16, (150, 48)).astype(np.uint16)
+    y = np.where(r.random((150, 48)) < r.random((150, 1)), x, r.integers(0, 2**16, (150, 48)).astype(np.uint16))
+    side = lambda v: spark.createDataFrame(list(enumerate(np.ascontiguousarray(v).view(np.int64).tolist())), "node int, s array<long>")
+    both = []
+    for name, v in (("a", x), ("b", y)):
+        table = side(v)
+        both.append(near_dedup.index_keys(table).join(table, "node").select("node", F.col("keys").alias(f"k{name}"), F.col("s").alias(name)))
+    common = both[0].join(both[1], "node").select("node", "a", "b", F.explode_outer(F.array_intersect("ka", "kb")).alias("key"))
+    told = common.groupBy("node").agg(F.count("key").alias("keys"), F.count_if(near_dedup.earliest(F.col("key"), F.col("a"), F.col("b"))).alias("n")).collect()
+    assert all(t["n"] == (t["keys"] > 0) for t in told)
+    assert {t["keys"] > 1 for t in told} == {True, False}
+
+
 def test_signature_distance(spark):
     """The distance by carries is the number of 16-bit values that differ."""
     import numpy as np
