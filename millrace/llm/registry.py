@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, near_dedup, packing, preference, quality, shared, suffix_tree_lm, token_counts, token_ids, url_filter
+from . import decontaminate, interaction, line_dedup, mixing, near_dedup, packing, phrases, preference, quality, shared, suffix_tree_lm, token_counts, token_ids, url_filter
 from .encoder import tokenizer_path
 from .oracles import ORACLES
 
@@ -58,6 +58,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark, pages, url_filter.labels_of_pages(pages, shared.table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op6_suffix_tree, op7_line_dedup, op8_token_counts, op9_near_dedup, op10_url_filter)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, shared.table(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(spark, shared.table(spark, sf_dir, "documents"))).drop("source")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        *(op1_token_ids, op2_quality_rules, op3_packing, op4_preference, op5_decontamination, op6_suffix_tree, op7_line_dedup),
+        *(op8_token_counts, op9_near_dedup, op10_url_filter, op11_phrases, op12_mixing, op13_filter_audit),
+    )
+}
 
 __all__ = ["ORACLES", "QUERIES"]
