@@ -1,14 +1,13 @@
 """Phrase collocations by level-wise Apriori passes.
 
-The texts are read once and kept as blocks of numbered words. Level k goes over the blocks: a k-gram is emitted only where the
-(k-1)-grams at its start and at its end are both frequent, and stays when it is frequent itself. Its occurrences are counted
-twice, by a 64-bit hash first, and then, for the grams whose hash is frequent, as strings, so that grams of some occurrences only
-move as hashes; a collision of hashes costs a string that the exact count drops. Every level leaves a small table of frequent grams; the
-cuts of a candidate are scored from these tables alone, and a level without frequent grams ends the passes.
+The texts are read twice: for the words, and to keep the runs of frequent words as blocks of numbers. Level k goes over the blocks:
+a k-gram is emitted only where the (k-1)-grams at its start and at its end are both frequent, is counted as a string, and stays when
+it is frequent itself. Every level leaves a small table of frequent grams; the cuts of a candidate are scored from these tables
+alone, and a level without frequent grams ends the passes.
 
-What is broadcast for a level are tables of bits, one for the hash of each frequent (k-1)-gram and likely k-gram: 32 bits a gram, and at
-most 2**29 in all (64 MB), however large the corpus is. A gram whose hash only looks frequent costs a row that the exact count then
-drops, so no size of the tables changes a result.
+What is broadcast for a level is a table of bits, one for the hash of each frequent (k-1)-gram: 32 bits a gram, and at most
+2**29 in all (64 MB), however large the corpus is. A gram whose hash only looks frequent costs a row that the exact count then
+drops, so no size of the table changes a result.
 
 Memory: a task holds a block of at most `block` words as 32-bit numbers; a long text is cut into blocks between pieces, which
 phrases don't cross. A block sends one row for each distinct gram, so a word, passage or copy that is everywhere is a row of
@@ -35,13 +34,13 @@ from pyspark.sql import functions as F
 from . import shared
 
 LEAST, LONGEST, TOP, WITHIN = 100, 5, 2000, 100
-BLOCK, MOST_WORDS, CHUNK = 2_000_000, 1 << 21, 1 << 22
+BLOCK, MOST_WORDS, CHUNK = 4_000_000, 1 << 21, 1 << 22
 LEAST_BITS, MOST_BITS, BITS_A_GRAM = 16, 29, 32
 
 #: Ends of pieces become a byte that no UTF-8 text has, tabs become blanks, A-Z are lowered.
 _END = 0xFF
 _BYTES = bytes(_END if chr(b) in ".,;:!?" or 10 <= b <= 13 else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-_BLOCKS, _HASHES, _COUNTS = "lang string, words binary, ids binary", "h long, c long", "lang string, phrase string, h long, c long"
+_BLOCKS, _COUNTS = "lang string, words binary, ids binary", "lang string, phrase string, c long"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -128,47 +127,30 @@ def _distinct(ids: np.ndarray, at: np.ndarray, k: int, n_words: int) -> tuple[np
     return at[first], n
 
 
-def _numbered(block: int):
-    """Rows of a block: a language, its words with blanks between them (the end mark first), and the places of the text as their numbers."""
-
-    def run(batches):
-        for held in _blocks(batches, block):
-            words = np.array(list(held.words), object)
-            for lang, ids in held.of():
-                present = np.bincount(ids, minlength=len(words)) > 0
-                present[0] = True
-                own = (np.cumsum(present) - 1).astype("<i4")[ids]
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([b" ".join(words[present])], pa.binary()), pa.array([own.tobytes()], pa.binary())], names=["lang", "words", "ids"])
-
-    return run
-
-
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            lang, words, ids = (batch.column(k)[i].as_py() for k in range(3))
-            yield lang, words.split(b" "), np.frombuffer(ids, "<i4")
-
-
-def _rows(lang: str, words: list[np.ndarray], vocabulary: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    strings = pa.array([b"", *vocabulary[1:]], pa.binary()).cast(pa.string())
+def _rows(lang: str, words: list[np.ndarray], vocabulary: list[bytes], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    strings = pa.array([b"", *vocabulary[1:]], pa.binary()).cast(pa.string())  # the end mark is no string
     for i in range(0, len(counts), 50_000):
         some = slice(i, i + 50_000)
         parts = [strings.take(pa.array(x[some])) for x in words]
         phrase = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
-        columns = [pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(hashes[some].view(np.int64)), pa.array(counts[some].astype(np.int64))]
-        yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "h", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrase), pa.string()), phrase, pa.array(counts[some].astype(np.int64))], names=["lang", "phrase", "c"])
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(block: int):
     """Level 1: counts of words, and of all words in a row with a null phrase."""
-    for lang, words, ids in _read(batches):
-        n = np.bincount(ids, minlength=len(words))
-        n[0] = 0
-        if n.any():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.string()), pa.array([0], pa.int64()), pa.array([int(n.sum())], pa.int64())], names=["lang", "phrase", "h", "c"])
-            at = np.flatnonzero(n)
-            yield from _rows(lang, [at], words, _mixed(lang, [_hashes(words)])[at], n[at])
+
+    def run(batches):
+        for held in _blocks(batches, block):
+            vocabulary = list(held.words)
+            for lang, ids in held.of():
+                n = np.bincount(ids, minlength=len(vocabulary))
+                n[:2] = 0
+                if n.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.string()), pa.array([int(n.sum())], pa.int64())], names=["lang", "phrase", "c"])
+                    at = np.flatnonzero(n)
+                    yield from _rows(lang, [at], vocabulary, n[at])
+
+    return run
 
 
 def _holds(table: tuple, h: np.ndarray) -> np.ndarray:
@@ -177,39 +159,62 @@ def _holds(table: tuple, h: np.ndarray) -> np.ndarray:
     return (found[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
 
 
-def _grams(k: int, frequent: tuple, likely: tuple | None):
-    """Level k: the k-grams whose two (k-1)-grams are in the table of frequent ones, by hash; or, given a table of likely ones, those in
-    it as strings."""
+def _numbered(block: int, frequent: tuple):
+    """Blocks: a language, its words in the table with blanks between them (the end mark first), and the text as their numbers. Other words
+    end a run, as the end of a piece does."""
 
     def run(batches):
-        for lang, words, ids in _read(batches):
-            n = len(ids) - k + 2  # places of (k-1)-grams
-            if n < 2:
-                continue
+        for held in _blocks(batches, block):
+            words = list(held.words)
             hashes = _hashes(words)
-            ok = _holds(frequent, _mixed(lang, [hashes[ids[j : n + j]] for j in range(k - 1)]))
-            for j in range(k - 1):
-                ok &= ids[j : n + j] != 0
-            at = np.flatnonzero(ok[:-1] & ok[1:])
-            h = _mixed(lang, [hashes[ids[at + j]] for j in range(k)])
-            if likely is None:
-                h, c = np.unique(h, return_counts=True)
-                if len(h):
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
-                continue
-            at = at[_holds(likely, h)]
-            if len(at):
-                at, c = _distinct(ids, at, k, len(words))
-                yield from _rows(lang, [ids[at + j] for j in range(k)], words, _mixed(lang, [hashes[ids[at + j]] for j in range(k)]), c)
+            for lang, ids in held.of():
+                kept = _holds(frequent, _mixed(lang, [hashes]))
+                kept[:2] = False
+                kept &= np.bincount(ids, minlength=len(words)) > 0
+                own = np.where(kept, np.cumsum(kept), 0).astype("<i4")[ids]
+                before, after = np.concatenate(([0], own[:-1])), np.concatenate((own[1:], [0]))
+                own = own[(own != 0) & ((before != 0) | (after != 0)) | (own == 0) & (before != 0)]  # words alone go, ends of runs stay
+                vocabulary = b" ".join([words[0], *(words[i] for i in np.flatnonzero(kept))])
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([vocabulary], pa.binary()), pa.array([own.tobytes()], pa.binary())], names=["lang", "words", "ids"])
+
+    return run
+
+
+def _grams(k: int, frequent: tuple):
+    """Level k: counts of the k-grams whose two (k-1)-grams are in the table."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lang, words, ids = batch.column(0)[i].as_py(), batch.column(1)[i].as_py().split(b" "), np.frombuffer(batch.column(2)[i].as_buffer(), "<i4")
+                n = len(ids) - k + 2  # places of (k-1)-grams
+                if n < 2:
+                    continue
+                hashes = _hashes(words)
+                ok = _holds(frequent, _mixed(lang, [hashes[ids[j : n + j]] for j in range(k - 1)]))
+                for j in range(k - 1):
+                    ok &= ids[j : n + j] != 0
+                at = np.flatnonzero(ok[:-1] & ok[1:])
+                if len(at):
+                    at, c = _distinct(ids, at, k, len(words))
+                    yield from _rows(lang, [ids[at + j] for j in range(k)], words, c)
 
     return run
 
 
 def _bit_table(spark: SparkSession, grams: DataFrame) -> tuple:
-    """The broadcast table of bits of the hashes h. It is gathered by Spark as 64-bit words, so the driver gets no grams."""
+    """The broadcast table of bits of a level's grams. It is gathered by Spark as 64-bit words, so the driver gets no grams."""
     bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_GRAM * max(1, grams.count()) - 1).bit_length()))
-    slots = grams.select(F.shiftrightunsigned("h", 64 - bits).alias("slot"))
-    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()
+
+    def slots(batches):
+        for batch in batches:
+            found = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found.append(int(_mixed(lang, [np.array([h], np.uint64) for h in map(xxhash.xxh3_64_intdigest, phrase.encode().split(b" "))])[0]) >> (64 - bits))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["slot"])
+
+    set_ = grams.select("lang", "phrase").mapInArrow(slots, "slot long")
+    words = set_.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()
     table = np.zeros((1 << bits) // 64, np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return spark.sparkContext.broadcast(table.astype("<i8").view(np.uint8)), bits
@@ -218,25 +223,23 @@ def _bit_table(spark: SparkSession, grams: DataFrame) -> tuple:
 def levels(spark: SparkSession, documents: DataFrame, scratch: shared.Scratch, least: int = LEAST, longest: int = LONGEST, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The frequent grams of all levels (lang, phrase, c, k), and the words of each language (lang, n)."""
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.encode(shared.whole_text(), "UTF-8").alias("text"))
-    blocks = scratch.save(texts.mapInArrow(_numbered(block), _BLOCKS), "blocks")
-    summed = lambda df: df.groupBy("lang", "phrase").agg(F.first("h").alias("h"), F.sum("c").alias("c"))
-    first = scratch.save(summed(blocks.mapInArrow(_words, _COUNTS)).filter((F.col("c") >= least) | F.col("phrase").isNull()), "level1")
+    summed = lambda df: df.groupBy("lang", "phrase").agg(F.sum("c").alias("c"))
+    first = scratch.save(summed(texts.mapInArrow(_words(block), _COUNTS)).filter((F.col("c") >= least) | F.col("phrase").isNull()), "level1")
     totals = first.filter(F.col("phrase").isNull()).select("lang", F.col("c").alias("n"))
-    found = [first.filter(F.col("phrase").isNotNull()).withColumn("k", F.lit(1))]
+    found, blocks = [first.filter(F.col("phrase").isNotNull()).withColumn("k", F.lit(1))], None
     for k in range(2, longest + 1):
         if found[-1].isEmpty():
             break
         frequent = _bit_table(spark, found[-1])
-        hashed = blocks.mapInArrow(_grams(k, frequent, None), _HASHES).groupBy("h").agg(F.sum("c").alias("c"))
-        likely = _bit_table(spark, scratch.save(hashed.filter(F.col("c") >= least).select("h"), f"likely{k}"))
-        grams = summed(blocks.mapInArrow(_grams(k, frequent, likely), _COUNTS)).filter(F.col("c") >= least)
+        if blocks is None:
+            blocks = scratch.save(texts.mapInArrow(_numbered(block, frequent), _BLOCKS), "blocks")
+        grams = summed(blocks.mapInArrow(_grams(k, frequent), _COUNTS)).filter(F.col("c") >= least)
         found.append(scratch.save(grams, f"level{k}").withColumn("k", F.lit(k)))
-        for table, _ in (frequent, likely):
-            table.destroy()
+        frequent[0].destroy()
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
-    return out.drop("h"), totals
+    return out, totals
 
 
 def scores(frequent: DataFrame, totals: DataFrame) -> DataFrame:
