@@ -36,6 +36,7 @@ from . import shared
 LEAST, LONGEST, TOP, WITHIN = 100, 5, 2000, 100
 BLOCK, MOST_WORDS, CHUNK = 4_000_000, 1 << 21, 1 << 22
 LEAST_BITS, MOST_BITS, BITS_A_GRAM = 16, 29, 32
+PARTS = 3  # pairs are most of what is counted, and are counted a part at a time, so that a third of them is on disk
 
 #: Ends of pieces become a byte that no UTF-8 text has, tabs become blanks, A-Z are lowered.
 _END = 0xFF
@@ -180,8 +181,8 @@ def _numbered(block: int, frequent: tuple):
     return run
 
 
-def _grams(k: int, frequent: tuple):
-    """Level k: counts of the k-grams whose two (k-1)-grams are in the table."""
+def _grams(k: int, frequent: tuple, part: int, parts: int):
+    """Level k: counts of the k-grams whose two (k-1)-grams are in the table, and whose hash is of that part."""
 
     def run(batches):
         for batch in batches:
@@ -195,6 +196,8 @@ def _grams(k: int, frequent: tuple):
                 for j in range(k - 1):
                     ok &= ids[j : n + j] != 0
                 at = np.flatnonzero(ok[:-1] & ok[1:])
+                if parts > 1:
+                    at = at[_mixed(lang, [hashes[ids[at + j]] for j in range(k)]) % np.uint64(parts) == part]
                 if len(at):
                     at, c = _distinct(ids, at, k, len(words))
                     yield from _rows(lang, [ids[at + j] for j in range(k)], words, c)
@@ -233,8 +236,10 @@ def levels(spark: SparkSession, documents: DataFrame, scratch: shared.Scratch, l
         frequent = _bit_table(spark, found[-1])
         if blocks is None:
             blocks = scratch.save(texts.mapInArrow(_numbered(block, frequent), _BLOCKS), "blocks")
-        grams = summed(blocks.mapInArrow(_grams(k, frequent), _COUNTS)).filter(F.col("c") >= least)
-        found.append(scratch.save(grams, f"level{k}").withColumn("k", F.lit(k)))
+        for i in range(PARTS if k == 2 else 1):
+            some = scratch.save(summed(blocks.mapInArrow(_grams(k, frequent, i, PARTS if k == 2 else 1), _COUNTS)).filter(F.col("c") >= least), f"level{k}.{i}")
+            level = some if i == 0 else level.unionByName(some)
+        found.append(level.withColumn("k", F.lit(k)))
         frequent[0].destroy()
     out = found[0]
     for x in found[1:]:
