@@ -1,6 +1,6 @@
 """Registered queries over the test tables, and the SQL that must agree with them."""
 
-from . import canonical, points, records, screens
+from . import canonical, noise, points, records, screens
 
-QUERIES: dict = {**points.QUERIES, **records.QUERIES, **screens.QUERIES, **canonical.QUERIES}
-ORACLES: dict = {**points.ORACLES, **records.ORACLES, **screens.ORACLES, **canonical.ORACLES}
+QUERIES: dict = {**points.QUERIES, **records.QUERIES, **screens.QUERIES, **canonical.QUERIES, **noise.QUERIES}
+ORACLES: dict = {**points.ORACLES, **records.ORACLES, **screens.ORACLES, **canonical.ORACLES, **noise.ORACLES}
