@@ -5,6 +5,7 @@ parser, page by page (mapInPandas keeps a page within its row's task); ranking a
 
 from __future__ import annotations
 
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.functions.places import is_province, resolve_province
+from millrace.functions.places import BY_KEY, is_province, key, resolve_province
 
 _SKIP = {"script", "style", "noscript", "svg", "head", "iframe", "footer", "nav"}
 _VOID = {"br", "img", "input", "meta", "link", "hr", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -68,16 +69,18 @@ def tree(html: str) -> dict:
 
 def leaves(node: dict) -> Iterator[str]:
     """Texts in document order, phones and mails of links as `tel:` and `mailto:` texts."""
-    href = node["attrs"].get("href") or ""
-    if href.startswith(("tel:", "mailto:")):
-        yield href
-    for part in node["parts"]:
-        if isinstance(part, str):
-            for line in part.split("\n"):
+    stack: list = [node]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            for line in x.split("\n"):
                 if line.strip():
                     yield " ".join(line.split())
-        else:
-            yield from leaves(part)
+            continue
+        href = x["attrs"].get("href") or ""
+        if href.startswith(("tel:", "mailto:")):
+            yield href
+        stack += reversed(x["parts"])
 
 
 def nodes(node: dict) -> Iterator[dict]:
@@ -160,6 +163,81 @@ def card_groups(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInPandas(rows, CARDS)
 
 
+# Classes of a page's grid, and signs of an address.
+_GRID = re.compile(r"(w|col|row)-?\d")
+_ADDRESS_SIGN = re.compile(r"(?i)\b(mah|mh|mahalle|mahallesi|cad|cd|cadde|caddesi|sok|sk|sokak|blv|bulv|bulvar|no\s*:|osb|sanayi|apt|plaza|iş\s*mrk)\b[.\s:]")
+
+
+def _groups(root: dict, least: int) -> list[list[dict]]:
+    """Nodes that repeat: siblings of one tag and class, and, as pages cut their lists into blocks, all innermost nodes of one tag and class."""
+    siblings: dict[tuple, list[dict]] = {}
+    alike: dict[tuple, list[dict]] = {}
+    for node in nodes(root):
+        if node["up"] is None:
+            continue
+        kind = (node["tag"], tuple(c for c in node["class"].split() if not _GRID.match(c)))
+        siblings.setdefault((id(node["up"]), *kind), []).append(node)
+        if kind[1]:
+            alike.setdefault(kind, []).append(node)
+    found = list(siblings.values())
+    for members in alike.values():
+        ids, outer = {id(n) for n in members}, set()
+        for n in members:
+            up = n["up"]
+            while up is not None and id(up) not in outer:
+                if id(up) in ids:
+                    outer.add(id(up))
+                up = up["up"]
+        inner = [n for n in members if id(n) not in outer]
+        if len(inner) > 3:
+            found.append(inner)
+    return [g for g in found if len(g) >= least]
+
+
+def _score(text: str) -> int:
+    return 5 * bool(_PHONE.search(text)) + 4 * bool(_ADDRESS_SIGN.search(text)) + 2 * (40 < len(text) < 900)
+
+
+def page_containers(html: str, least: int = 2, first: int = 12) -> list[list[tuple[int, str, list[str]]]]:
+    """The groups of a page that look like lists of points, best first: phones in two members and 40% of them at least, ordered by the
+    number of members with a phone, then by the mean score. A member is its number of phones, the province heading above it (where the
+    page has three or more), and its texts."""
+    root, headings, order = tree(html), [], {}
+    for i, node in enumerate(nodes(root)):
+        order[id(node)] = i
+        if node["up"] is not None and all(isinstance(p, str) for p in node["parts"]):
+            shown = " ".join(leaves(node))
+            if len(shown) <= 40 and key(shown) in BY_KEY:
+                headings.append((i, shown))
+    ranked = []
+    for group in _groups(root, least):
+        parts = [list(leaves(n)) for n in group]
+        texts = [" ".join(x for x in p if not x.startswith(("tel:", "mailto:"))) for p in parts]
+        phones = [len(_PHONE.findall(t)) for t in texts]
+        n = sum(p > 0 for p in phones)
+        if n >= max(2, 0.4 * len(group)):
+            ranked.append((-n, -sum(map(_score, texts)) / len(group), len(ranked), group, phones, parts))
+    out = []
+    for *_, group, phones, parts in sorted(ranked, key=lambda x: x[:3])[:first]:
+        above = [bisect.bisect_left(headings, (order[id(n)], "")) for n in group]
+        out.append([(p, headings[k - 1][1] if k and len(headings) >= 3 else "", x) for p, k, x in zip(phones, above, parts, strict=True)])
+    return out
+
+
+def containers(pages: DataFrame, least: int = 2, first: int = 12) -> DataFrame:
+    """The members of the first groups of each page (see page_containers), as card_records() reads them; grp is the group's rank."""
+
+    def rows(batches):
+        for batch in batches:
+            out = []
+            for url, html in zip(batch["url"], batch["html"], strict=True):
+                for rank, group in enumerate(page_containers(html, least, first)):
+                    out += [(url, f"{rank:03d}", i, *member) for i, member in enumerate(group)]
+            yield pd.DataFrame(out, columns=["url", "grp", "ord", "n_phones", "heading", "parts"])
+
+    return pages.select("url", "html").mapInPandas(rows, CARDS)
+
+
 ADDRESS = r"\b(mah|mh|mahalle|mahallesi|cad|cd|cadde|caddesi|sok|sk|sokak|blv|bulv|bulvar|no|osb|sanayi|apt|plaza)\b"
 
 
