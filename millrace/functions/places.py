@@ -26,6 +26,7 @@ ALIASES = {
     "urfa": "Şanlıurfa", "s urfa": "Şanlıurfa", "antep": "Gaziantep", "g antep": "Gaziantep",
     "ist": "İstanbul", "ank": "Ankara", "izm": "İzmir", "hakkari": "Hakkâri",
 }
+# Places abroad, words that make a place's name before them a road, and those that make a district's name a street.
 ABROAD = ("kibris", "kuzey kibris", "kktc", "lefkosa", "girne", "magusa", "gazimagusa", "guzelyurt", "iskele", "lefke")
 ROAD_WORDS = ("yolu", "yol", "caddesi", "cad", "cd", "bulvari", "bulvar", "blv", "asfalti", "asfalt", "mahallesi", "mah", "mh", "sokak", "sok", "sk", "sitesi", "apartmani", "apt", "kavsagi", "kavsak", "otoyolu", "karayolu", "istikameti", "yonu", "cikisi")
 STREET_WORDS = ("mah", "mh", "mahalle", "mahallesi", "cad", "cd", "cadde", "caddesi", "sok", "sk", "sokak", "bulv", "blv", "apt", "sit", "sitesi")

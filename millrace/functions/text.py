@@ -148,7 +148,7 @@ def phone_display(c: Column) -> Column:
     return F.when(c.startswith("+90") & (F.length(c) == 13), shown).otherwise(c)
 
 
-#: Ten digits, area 2 to 5 or 8, not inside a longer run of digits.
+# Fixed value: a phone is ten digits, area 2 to 5 or 8, not inside a longer run of digits.
 PHONE = r"(?<![0-9])(?:\+90[\s.\-]?)?0?[\s(]*[2-58][0-9]{2}[)\s.\-]*[0-9]{3}[\s.\-]*[0-9]{2}[\s.\-]*[0-9]{2}(?![0-9])"
 
 

@@ -51,3 +51,11 @@ def test_replaced_and_rebased(spark):
     state = spark.createDataFrame([("A", 31, 1, "karantina"), ("B", 30, 1, "karantina"), ("C", None, 0, "hatali")], "marka string, beklenen int, karantina int, durum string")
     got = {r["marka"]: tuple(r)[1:] for r in W.rebased(state, spark.createDataFrame([("A", 20), ("B", 20)], "marka string, adet int")).collect()}
     assert got == {"A": (20, 0, "basarili", True), "B": (30, 1, "karantina", False), "C": (None, 0, "hatali", False)}
+
+
+def test_content_hash_counts_equal_rows(spark):
+    from millrace.sources import sinks
+
+    hash_of = lambda rows: sinks.content_hash(spark.createDataFrame(rows, "a int, b string")).first()["hash"]
+    assert hash_of([(1, "x"), (2, None)]) == hash_of([(2, None), (1, "x")])
+    assert len({hash_of([(1, "x"), (1, "x")]), hash_of([(2, "y"), (2, "y")]), hash_of([])}) == 3
