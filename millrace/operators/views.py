@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import fold, role_of_label, text
+from millrace.functions.text import PHONE, fold, role_of_label, text
 
 from .reports import firm_key, role_columns, sells, serves
 
@@ -171,7 +171,7 @@ def problems(rows: DataFrame, provinces: list[str], signs: str = ADDRESS_SIGNS,
     name, ilce, il, adres, tel = (text(c) for c in ("ad", "ilce", "il", "adres", "tel"))
     fn, fi, fp = fold(name), fold(ilce), fold(il)
     known = lambda x: x.isin(*[p for p in provinces])
-    of_name = F.when(role_of_label(name) != "", "ad_tur_etiketi").when(fn.isin(*noise), "ad_gurultu").when(known(fn), "ad_il_adi").when(F.length(F.trim(name)) < 4, "ad_cok_kisa").when(F.trim(name).rlike(r"^[+(]?[0-9][0-9 ()/.-]{8,}$"), "ad_telefon").when((adres != "") & (fn != "") & (F.size(F.split(fn, " ")) <= 2) & F.contains(fold(adres), fn), "ad_konum")
+    of_name = F.when(role_of_label(name) != "", "ad_tur_etiketi").when(fn.isin(*noise), "ad_gurultu").when(known(fn), "ad_il_adi").when(F.length(F.trim(name)) < 4, "ad_cok_kisa").when(F.trim(name).rlike(f"^(?:{PHONE})$"), "ad_telefon").when((adres != "") & (fn != "") & (F.size(F.split(fn, " ")) <= 2) & F.contains(fold(adres), fn), "ad_konum")
     of_district = F.when(ilce == "", F.lit(None)).when(role_of_label(ilce) != "", "ilce_tur_etiketi").when(known(fi) & (fi != fp), "ilce_il_adi").when(fi.isin(*noise), "ilce_gurultu")
     of_province = F.when(il == "", "il_bos").when(~known(fp), "il_gecersiz")
     contact = F.when((tel == "") & (adres == ""), "iletisim_yok").when((F.length(adres) > 8) & ~F.lower(adres).rlike(signs), "adres_supheli")

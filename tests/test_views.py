@@ -59,3 +59,9 @@ def test_content_hash_counts_equal_rows(spark):
     hash_of = lambda rows: sinks.content_hash(spark.createDataFrame(rows, "a int, b string")).first()["hash"]
     assert hash_of([(1, "x"), (2, None)]) == hash_of([(2, None), (1, "x")])
     assert len({hash_of([(1, "x"), (1, "x")]), hash_of([(2, "y"), (2, "y")]), hash_of([])}) == 3
+
+
+def test_a_name_that_is_a_phone(spark):
+    rows = [("m", x, "", "ankara", "Gül Sok. No:4", "") for x in ("0312 000 00 00", "12345678901", "0(532) 111-22-33")]
+    df = spark.createDataFrame(rows, "marka string, ad string, ilce string, il string, adres string, tel string")
+    assert [r["problems"] for r in W.problems(df, ["ankara"]).collect()] == [["ad_telefon"], [], ["ad_telefon"]]
