@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions import geo, noise
 from millrace.functions import text as T
 
 # How chunks are pushed, and the keys that hold points.
@@ -92,3 +93,101 @@ def state_points(pages: DataFrame) -> DataFrame:
     empty = F.lit("")
     made = found.select("url", "ord", "bayi_adi", empty.alias("il"), empty.alias("ilce"), F.trim("adres").alias("adres"), "telefon", empty.alias("email"), F.lit("satis_servis").alias("rol"))
     return _first(made, F.col("bayi_adi"), F.col("telefon")).withColumn("telefon", F.trim("telefon"))
+
+
+# The names that sites give to fields, best first, and how they write the country.
+ALIASES = {
+    "bayi_adi": ("name", "title", "unvan", "bayi", "dealername", "firma"),
+    "il": ("city", "il", "sehir", "province", "town"),
+    "ilce": ("district", "ilce", "county", "region"),
+    "adres": ("address", "adres", "adres1", "street", "addressline1"),
+    "telefon": ("phone", "telefon", "tel", "gsm", "phonenumber", "telephone"),
+    "email": ("email", "eposta", "mail"),
+    "website": ("website", "web", "url", "site"),
+    "type": ("type", "tur", "tür", "tip", "kategori", "category", "nokta_turu", "dealertype", "pointtype"),
+    "country": ("country", "countrycode", "ulke", "iso"),
+    "lat": ("lat", "latitude", "enlem", "y"),
+    "lng": ("lng", "lon", "long", "longitude", "boylam", "x"),
+}
+NAMED = ("name", "title", "unvan", "dealername", "firma")
+HOME = ("tr", "tur", "turkey", "turkiye", "turkei")
+
+
+def _point_like(x: object) -> bool:
+    """An object with a phone and an address, or with a name and coordinates."""
+    if not isinstance(x, dict):
+        return False
+    names = {k.lower() for k in x}
+    has = lambda *fields: all(names.intersection(ALIASES[f]) for f in fields)
+    return has("telefon", "adres") or (bool(names.intersection(NAMED)) and has("lat", "lng"))
+
+
+def _spans(script: str, most: int = 3):
+    """Up to three texts from a bracket to the last one of its kind, which don't overlap."""
+    at, last = 0, {"{": script.rfind("}"), "[": script.rfind("]")}
+    for _ in range(most):
+        starts = [(s, b) for b in "{[" if 0 <= (s := script.find(b, at)) < last[b]]
+        if not starts:
+            return
+        start, bracket = min(starts)
+        at = last[bracket] + 1
+        yield script[start:at]
+
+
+def largest_list(html: str | None, least: int = 3, shortest: int = 60) -> list[dict]:
+    """The largest list with that many point-like objects within a page's scripts, the first of equals; a script that is no
+    JSON between its brackets, or is nested beyond what the reader takes, is left out. Values are walked with a stack."""
+    best: list[dict] = []
+    for script in re.findall(r"(?is)<script\b[^>]*>(.*?)</script", html or ""):
+        for span in _spans(script) if len(script) >= shortest else ():
+            try:
+                stack = [json.loads(span)]
+            except (ValueError, RecursionError):
+                continue
+            while stack:
+                x = stack.pop()
+                if isinstance(x, list):
+                    points = [y for y in x if _point_like(y)]
+                    if len(points) >= max(least, len(best) + 1):
+                        best = points
+                inner = x if isinstance(x, list) else x.values() if isinstance(x, dict) else ()
+                stack += [y for y in reversed(list(inner)) if isinstance(y, list | dict)]
+    return best
+
+
+def script_points(pages: DataFrame, border: list[tuple[float, float]], centres: list[tuple[str, float, float]], most_km: float = 180.0) -> DataFrame:
+    """url, ord and the fields of RECORD and website of the points in a page's largest list.
+
+    border: (lng, lat) of the country's outline; centres: (province, lat, lng). A field is the first alias with a value. Points outside
+    of the border or of another country are dropped, points without a name too; one that names no province has that of the nearest
+    centre within most_km. A page more than half of whose points have tokens in place of names or addresses gives none."""
+
+    @F.pandas_udf("string")
+    def points(html: pd.Series) -> pd.Series:
+        found = map(largest_list, html)
+        return pd.Series([json.dumps(x, ensure_ascii=False) if x else None for x in found], dtype=object)
+
+    entries = F.transform(F.from_json("_json", "array<map<string, string>>"), lambda m: F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))))
+
+    def field(e: Column, name: str, nothing: tuple[str, ...] = ("", "false", "0", "0.0", "[]", "{}")) -> Column:
+        names = F.array(*map(F.lit, ALIASES[name]))
+        held = F.filter(e, lambda x: F.array_contains(names, x["k"]) & x["v"].isNotNull() & ~x["v"].isin(*nothing))
+        return F.array_min(F.transform(held, lambda x, i: F.struct(F.array_position(names, x["k"]), i.alias("i"), x["v"].alias("v"))))["v"]
+
+    def told(e: Column) -> Column:
+        texts = [T.text(field(e, f)).alias(f) for f in ALIASES if f not in ("lat", "lng")]
+        return T.let(F.struct(*texts, field(e, "lat", ("",)).alias("lat"), field(e, "lng", ("",)).alias("lng")), checked)
+
+    def checked(x: Column) -> Column:
+        lat, lng = (x[f].try_cast("double") for f in ("lat", "lng"))
+        placed = x["lat"].isNotNull() & x["lng"].isNotNull()
+        at_home = (~placed | geo.inside(lat, lng, border)) & ((x["country"] == "") | T.fold(x["country"]).isin(*HOME))
+        junk = ~noise.name_like(x["bayi_adi"]) | ((x["adres"] != "") & ~noise.name_like(x["adres"]))
+        return F.struct(*(x[f].alias(f) for f in ALIASES if f not in ("lat", "lng", "country")), F.when(placed, lat).alias("lat"), F.when(placed, lng).alias("lng"), ((x["bayi_adi"] != "") & at_home).alias("ok"), junk.alias("junk"))
+
+    held = pages.select("url", points("html").alias("_json")).filter("_json IS NOT NULL").select("url", F.transform(entries, told).alias("_x"))
+    sound = held.filter(2 * F.size(F.filter("_x", lambda x: x["ok"] & x["junk"])) <= F.size("_x"))
+    each = sound.select("url", F.posexplode("_x").alias("ord", "x")).filter("x.ok AND NOT x.junk").select("url", "ord", "x.*")
+    near = geo.nearest(each, centres, most_km)
+    il = F.when(F.col("il") != "", F.col("il")).otherwise(T.text("place"))
+    return near.select("url", "ord", "bayi_adi", il.alias("il"), "ilce", "adres", "telefon", "email", "website", T.text(T.role_of_label(F.col("type"))).alias("rol"))
