@@ -108,6 +108,17 @@ def select(node: dict, selector: str) -> list[dict]:
     return found
 
 
+def field_value(node: dict, spec: dict) -> str:
+    """The text of a node below, or an attribute of it, or a part of either. spec: sel, attr, regex, index."""
+    hit = select(node, spec["sel"]) if spec.get("sel") else [node]
+    k, value = spec.get("index", 0), ""
+    if -len(hit) <= k < len(hit):
+        value = hit[k]["attrs"].get(spec["attr"]) or "" if spec.get("attr") else " ".join(x for x in leaves(hit[k]) if not x.startswith(("tel:", "mailto:")))
+    if spec.get("regex") and (m := re.search(spec["regex"], value)):
+        value = m[1] or "" if m.groups() else m[0]
+    return value
+
+
 def recipe_rows(pages: DataFrame, row: str, fields: dict[str, dict]) -> DataFrame:
     """url, ord and a text column for each field of every node that `row` selects. A field: sel, attr, regex, index."""
 
@@ -118,14 +129,7 @@ def recipe_rows(pages: DataFrame, row: str, fields: dict[str, dict]) -> DataFram
                 for i, node in enumerate(select(tree(html), row)):
                     made = {"url": url, "ord": i}
                     for name, spec in fields.items():
-                        hit = select(node, spec["sel"]) if spec.get("sel") else [node]
-                        k = spec.get("index", 0)
-                        value = ""
-                        if -len(hit) <= k < len(hit):
-                            value = hit[k]["attrs"].get(spec["attr"]) or "" if spec.get("attr") else " ".join(x for x in leaves(hit[k]) if not x.startswith(("tel:", "mailto:")))
-                        if spec.get("regex") and (m := re.search(spec["regex"], value)):
-                            value = m[1] if m.groups() else m[0]
-                        made[name] = value
+                        made[name] = field_value(node, spec)
                     out.append(made)
             yield pd.DataFrame(out, columns=["url", "ord", *fields])
 
