@@ -1,6 +1,6 @@
 """Registered queries over the test tables, and the SQL that must agree with them."""
 
-from . import canonical, discovery, noise, points, records, screens
+from . import canonical, discovery, noise, points, records, screens, sites
 
-QUERIES: dict = {**points.QUERIES, **records.QUERIES, **screens.QUERIES, **canonical.QUERIES, **noise.QUERIES, **discovery.QUERIES}
-ORACLES: dict = {**points.ORACLES, **records.ORACLES, **screens.ORACLES, **canonical.ORACLES, **noise.ORACLES, **discovery.ORACLES}
+QUERIES: dict = {**points.QUERIES, **records.QUERIES, **screens.QUERIES, **canonical.QUERIES, **noise.QUERIES, **discovery.QUERIES, **sites.QUERIES}
+ORACLES: dict = {**points.ORACLES, **records.ORACLES, **screens.ORACLES, **canonical.ORACLES, **noise.ORACLES, **discovery.ORACLES, **sites.ORACLES}
