@@ -3,9 +3,11 @@
 Paths are counted per (host, path) before anything else. Level by level, the segments below a node are generalised: a
 segment that is one of many (`min_children`) and rare among them (`max_share`) becomes a wildcard, digits as `*` within
 what surrounds them, other text as `*` as a whole. A node whose labelled rate is within `z` standard errors of its
-parent's is merged into the parent. Siblings that stand apart from their parent are merged with one another: in the order of their
-rates (in BINS classes of equal width on the arcsine scale, so that a parent of any number of children is a short array), neighbours
-are pooled as long as a two-proportion test doesn't tell them apart. A path belongs to the deepest node on its way that is not merged
+parent's is merged into the parent. Siblings that stand apart from their parent are merged with one another, so that a parent of any number
+of children is a short array: siblings of like size form classes on the arcsine scale, so narrow that a two-proportion test can't tell two of
+a class apart (its width is z standard errors of the difference of its two largest, and four times the labels make classes half
+as wide; their number grows with the cube root of a parent's labels). In the order of their rates, neighbouring classes are pooled as long as
+the test doesn't tell them apart. A path belongs to the deepest node on its way that is not merged
 into its parent, and takes the counts of that node's branch. A template is rejected when its branch's smoothed share of bad labels is
 at least `reject`. A branch of several siblings is named by the first, with the number of the others.
 
@@ -27,7 +29,7 @@ from . import shared
 
 #: (verdict, host, path) of the given rules.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-DEPTH, MIN_CHILDREN, MAX_SHARE, Z, STRENGTH, REJECT, BINS = 6, 8, 0.05, 1.96, 8.0, 0.5, 16
+DEPTH, MIN_CHILDREN, MAX_SHARE, Z, STRENGTH, REJECT = 6, 8, 0.05, 1.96, 8.0, 0.5
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -63,10 +65,14 @@ def templates(scratch: shared.Scratch, paths: DataFrame, depth: int = DEPTH, min
 
 def branches(apart: DataFrame, z: float = Z) -> DataFrame:
     """apart (k, t, up, n, b; n > 0) with branch, bn, bb: the name and the counts of the branch of like siblings."""
-    at = F.floor(F.asin(F.sqrt(F.col("b") / F.col("n"))) * (2 * BINS / math.pi))
-    told = apart.withColumn("bin", F.least(at, F.lit(BINS - 1)).cast("int"))
-    classes = told.groupBy("k", "up", "bin").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.count("*").alias("c"), F.min("t").alias("t"))
-    runs = classes.groupBy("k", "up").agg(F.sort_array(F.collect_list(F.struct(F.col("bin").alias("lo"), F.col("bin").alias("hi"), "n", "b", "c", "t"))).alias("runs"))
+    # a class holds 4**s to 4**(s + 1) - 1 labels a sibling and is no wider than z standard errors of the difference of its two largest
+    scale = F.floor(F.log2(F.col("n").cast("double")) / 2 + 1e-9)
+    bins = F.ceil(F.pow(F.lit(2.0), F.col("scale")) * (math.pi * math.sqrt(2) / z))
+    at = F.floor(F.asin(F.sqrt(F.col("b") / F.col("n"))) * F.col("bins") * (2 / math.pi) + 1e-9)
+    told = apart.withColumn("scale", scale).withColumn("bins", bins).withColumn("bin", F.least(at, F.col("bins") - 1)).drop("bins")
+    classes = told.groupBy("k", "up", "scale", "bin").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.count("*").alias("c"), F.min("t").alias("t"))
+    row = F.struct((F.col("b") / F.col("n")).alias("rate"), "t", "scale", "bin", "n", "b", "c")
+    runs = classes.groupBy("k", "up").agg(F.sort_array(F.collect_list(row)).alias("runs"))
 
     def alike(x: Column, y: Column) -> Column:
         p = (x["b"] + y["b"]) / (x["n"] + y["n"])
@@ -81,11 +87,14 @@ def branches(apart: DataFrame, z: float = Z) -> DataFrame:
         both = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(pooled(x, y)))
         return F.when((F.size(done) > 0) & alike(x, y), both).otherwise(F.concat(done, F.array(y)))
 
+    def members(r: Column) -> Column:
+        name = F.when(r["c"] == 1, r["t"]).otherwise(F.concat(r["t"], F.lit(" +"), r["c"] - 1))
+        return F.transform(F.slice("runs", r["lo"], r["hi"] - r["lo"] + 1), lambda x: F.struct(x["scale"].alias("scale"), x["bin"].alias("bin"), name.alias("branch"), r["n"].alias("bn"), r["b"].alias("bb")))
+
     empty = F.array().cast("array<struct<lo:int,hi:int,n:bigint,b:bigint,c:bigint,t:string>>")
-    named = runs.select("k", "up", F.explode(F.aggregate("runs", empty, merge)).alias("r"))
-    name = F.when(F.col("r.c") == 1, F.col("r.t")).otherwise(F.concat("r.t", F.lit(" +"), F.col("r.c") - 1))
-    named = named.select("k", "up", F.explode(F.sequence("r.lo", "r.hi")).alias("bin"), name.alias("branch"), F.col("r.n").alias("bn"), F.col("r.b").alias("bb"))
-    return told.join(named, ["k", "up", "bin"]).drop("bin")
+    placed = F.transform("runs", lambda x, i: F.struct((i + 1).alias("lo"), (i + 1).alias("hi"), x["n"].alias("n"), x["b"].alias("b"), x["c"].alias("c"), x["t"].alias("t")))
+    named = runs.select("k", "up", F.explode(F.flatten(F.transform(F.aggregate(placed, empty, merge), members))).alias("r")).select("k", "up", "r.*")
+    return told.join(named, ["k", "up", "scale", "bin"]).drop("scale", "bin")
 
 
 def tree(spark: SparkSession, pages: DataFrame, labels: DataFrame, depth: int = DEPTH, z: float = Z, strength: float = STRENGTH, reject: float = REJECT, **more) -> DataFrame:

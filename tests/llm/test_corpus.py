@@ -1,6 +1,7 @@
 """Filters, dedup, scoring and formatting against brute-force versions on small rows with odd cases."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -439,9 +440,14 @@ def brute_templates(pages, bad):
         bins = defaultdict(list)
         for t in ts:
             n, b = counts[t]
-            bins[min(15, math.floor(math.asin(math.sqrt(b / n)) * 32 / math.pi))].append(t)
+            scale = math.floor(math.log2(n) / 2 + 1e-9)
+            many = math.ceil(2**scale * math.pi * math.sqrt(2) / z)
+            bins[scale, min(many - 1, math.floor(math.asin(math.sqrt(b / n)) * many * 2 / math.pi + 1e-9))].append(t)
+        for own in bins.values():  # no two of a class can be told apart
+            for (n, b), (m, a) in itertools.combinations([counts[t] for t in own], 2):
+                assert abs(math.asin(math.sqrt(b / n)) - math.asin(math.sqrt(a / m))) <= z * math.sqrt(1 / (4 * n) + 1 / (4 * m)) + 1e-8
         runs = []
-        for _, own in sorted(bins.items()):
+        for own in sorted(bins.values(), key=lambda own: (sum(counts[t][1] for t in own) / sum(counts[t][0] for t in own), min(own))):
             n, b = (sum(counts[t][j] for t in own) for j in (0, 1))
             if runs:
                 old, m, a = runs[-1]
@@ -481,6 +487,16 @@ def test_url_branches(spark):
     assert {x["path"]: x["rejected"] for x in said} == {p: i < 100 for i, _, p in few}
 
 
+def test_url_siblings_are_told_apart(spark):
+    """Two siblings with many labels whose rates differ are two branches, and like ones of any size are one."""
+    rows = [(2, "h/a", "h", 100_000, 51_000), (2, "h/b", "h", 100_000, 57_000), (2, "h/c", "h", 100_000, 51_050), (2, "h/d", "h", 100, 51), (2, "g/a", "g", 1, 0), (2, "g/b", "g", 2, 0), (2, "g/c", "g", 9000, 9000), (2, "g/d", "g", 3, 3)]
+    got = url_filter.branches(spark.createDataFrame(rows, "k int, t string, up string, n long, b long")).collect()
+    assert {r["t"]: (r["branch"], r["bn"], r["bb"]) for r in got} == {
+        "h/a": ("h/a +2", 200_100, 102_101), "h/c": ("h/a +2", 200_100, 102_101), "h/d": ("h/a +2", 200_100, 102_101), "h/b": ("h/b", 100_000, 57_000),
+        "g/a": ("g/a +1", 3, 0), "g/b": ("g/a +1", 3, 0), "g/c": ("g/c +1", 9003, 9003), "g/d": ("g/c +1", 9003, 9003),
+    }
+
+
 def brute_scores(rows, order, least=2, discount=0.75, gain=1.0):
     """A suffix tree of dictionaries, without a head: every context with its counts, retained by the same leave-one-out test."""
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
