@@ -26,13 +26,17 @@ _PHONE = re.compile(T.PHONE)
 class _Tree(HTMLParser):
     """Nodes as dicts: tag, class, parts (texts and nodes), attrs."""
 
+    skip = _SKIP
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = {"tag": "", "class": "", "attrs": {}, "parts": [], "up": None}
         self.at, self.skipped = self.root, 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in _SKIP:
+        if tag in self.skip:
+            if tag in _VOID:
+                return
             self.skipped += 1
         if self.skipped:
             return
@@ -46,7 +50,9 @@ class _Tree(HTMLParser):
             self.at = node
 
     def handle_endtag(self, tag):
-        if tag in _SKIP:
+        if tag in self.skip:
+            if tag in _VOID:
+                return
             self.skipped = max(0, self.skipped - 1)
             return
         node = self.at
