@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.diagnosis import diagnosis
-from millrace.sources import decoding, trimming
+from millrace.sources import captures, decoding, trimming
 
 from .points import read
 
@@ -65,3 +65,21 @@ ORACLES = {
     substr(repeat(n_name, 40), 1, 160) AS hata, '2026-01-02T03:04' AS son_basarili, coalesce(toplam, 0) AS toplam, coalesce(sorunlu, 0) AS sorunlu, coalesce(etiketler, '') AS etiketler, coalesce(denemeler, '') AS denemeler, coalesce(kayitlar, '') AS kayitlar
   FROM nation LEFT JOIN t ON t.m = n_nationkey LEFT JOIN b ON b.m = n_nationkey LEFT JOIN e ON e.m = n_nationkey LEFT JOIN r ON r.m = n_nationkey""",
 }
+
+
+def captured(s: SparkSession, d: str) -> DataFrame:
+    """A capture for each nation: its list of provinces, then an answer for each of its customers, asked for by code."""
+    c = read(s, d, "customer")
+    page = """concat('<div><h3>Can Motor ', c_custkey div 2, '</h3><p>Gül Mah. Ova Cad. No:', c_custkey, ' Kat 2 EDREMİT / BALIKESİR</p><a href="tel:0532', c_custkey div 2, '">Ara</a></div>')"""
+    url = "concat('https://a/', CASE WHEN c_custkey % 3 = 0 THEN 'servis' ELSE 'bayi' END)"
+    one = f"named_struct('request', named_struct('url', {url}, 'postData', named_struct('text', concat('x=1&city_box=', c_custkey % 4))), 'response', named_struct('content', named_struct('text', {page}, 'mimeType', 'text/html')))"
+    head = """named_struct('request', named_struct('url', 'https://a/', 'postData', named_struct('text', '')), 'response', named_struct('content', named_struct('text', '<select name="city_box"><option value="1">Adana</option><option value="2">Rize</option><option value="0">Seç</option></select>', 'mimeType', 'text/html')))"""
+    answers = c.selectExpr("c_nationkey", "c_custkey", f"{one} AS e").groupBy("c_nationkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "e"))), lambda x: x["e"]).alias("es"))
+    landed = answers.selectExpr("concat('M', c_nationkey) AS marka", "'1' AS capture", f"to_json(named_struct('log', named_struct('entries', concat(array({head}), es)))) AS body")
+    return captures.capture_points(landed)
+
+
+QUERIES["src20_captured"] = captured
+ORACLES["src20_captured"] = """WITH c AS (SELECT c_custkey AS k, 'M' || c_nationkey AS marka, CASE WHEN c_custkey % 3 = 0 THEN 'servis' ELSE 'satis' END AS rol, c_custkey // 2 AS n FROM customer)
+  SELECT marka, rol, 'Can Motor ' || n AS bayi_adi, CASE k % 4 WHEN 1 THEN 'Adana' WHEN 2 THEN 'Rize' ELSE '' END AS il, 'EDREMİT' AS ilce, 'Gül Mah. Ova Cad. No:' || k || ' Kat 2 EDREMİT / BALIKESİR' AS adres, '0532' || n AS telefon
+  FROM c QUALIFY row_number() OVER (PARTITION BY marka, rol, n ORDER BY k) = 1"""
