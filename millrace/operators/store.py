@@ -36,11 +36,21 @@ def keyed(scan: DataFrame) -> DataFrame:
 
 def matched(store: DataFrame, scan: DataFrame) -> DataFrame:
     """keyed scan rows with match: the store's key they go to. Equal keys first; else the first row of the same brand and
-    province that same_firm() accepts, by an equi-join on the two (the smallest key of several)."""
+    province that same_firm() accepts (the smallest key of several). Those meet by phone or by a name word: same_firm() asks for equal phones, or
+    for name cores of which six tenths of all words are shared, and so is one of the first n - ceil(0.6 n) + 1 of either side's n words in any
+    one order. The order is that of their hashes."""
     new = scan.join(store.select("tekil_key", F.col("tekil_key").alias("match")), "tekil_key", "left")
-    open_ = identity.prepared(new.filter("match IS NULL").drop("match")).alias("x")
-    held = identity.prepared(store.select("tekil_key", *FIELDS)).alias("y")
-    met = open_.join(held, (F.col("x.marka") == F.col("y.marka")) & (F.col("x.f_il") == F.col("y.f_il")) & identity.same_firm("x", "y"))
+    def meeting(rows: DataFrame) -> DataFrame:
+        words = F.array_sort(F.transform(F.array_distinct(F.split("core", " ")), lambda w: F.xxhash64(w)))
+        first = F.slice(words, 1, F.size(words) - F.ceil(F.size(words) * 3 / F.lit(5)).cast("int") + 1)
+        by_name = F.when(F.length("core") >= 4, first).otherwise(F.array().cast("array<bigint>"))
+        by_phone = F.when(F.col("tel") != "", F.array(F.xxhash64(F.col("tel"), F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
+        return identity.prepared(rows).withColumn("meet", F.explode(F.concat(by_phone, by_name)))
+
+    open_ = meeting(new.filter("match IS NULL").drop("match")).alias("x")
+    held = meeting(store.select("tekil_key", *FIELDS)).alias("y")
+    on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("marka", "f_il", "meet")]
+    met = open_.join(held, on[0] & on[1] & on[2] & identity.same_firm("x", "y"))
     found = met.groupBy(F.col("x.tekil_key").alias("tekil_key")).agg(F.min("y.tekil_key").alias("like"))
     return new.join(found, "tekil_key", "left").withColumn("match", F.coalesce("match", "like")).drop("like")
 
@@ -52,7 +62,7 @@ def merge(store: DataFrame, scan: DataFrame, states: DataFrame, now: Column) ->
     # of several scan rows for one store row the one with the row's own key counts, else the smallest
     one = identity.first_by(seen.withColumn("goal", F.coalesce("match", "tekil_key")), [F.col("goal")], [(F.col("tekil_key") != F.col("goal")), "tekil_key"])
     n = one.select("goal", *(F.col(c).alias(f"n_{c}") for c in FIELDS), F.col("rol").alias("n_rol"))
-    o = store.join(n, store["tekil_key"] == n["goal"], "full_outer").join(F.broadcast(states.select(F.col("marka").alias("s_marka"), "state")), F.col("s_marka") == F.coalesce("marka", "n_marka"), "left")
+    o = store.join(n, store["tekil_key"] == n["goal"], "full_outer").join(states.select(F.col("marka").alias("s_marka"), "state"), F.col("s_marka") == F.coalesce("marka", "n_marka"), "left")
     is_new, is_seen = F.col("tekil_key").isNull(), F.col("goal").isNotNull()
     back = ~is_new & is_seen & (F.col("durum") != "aktif")
     changed = ~is_new & is_seen & (F.col("durum") == "aktif") & ((F.col("adres") != F.col("n_adres")) | (F.col("telefon") != F.col("n_telefon")))
@@ -76,7 +86,7 @@ def replace_manual(store: DataFrame, listed: DataFrame) -> DataFrame:
     brands = listed.select("marka").distinct().withColumn("_listed", F.lit(True))
     key = lambda p: F.concat_ws("|", F.lower(text(f"{p}.bayi_adi")), F.lower(text(f"{p}.ilce")))
     names = listed.alias("l").select(F.col("l.marka").alias("_m"), key("l").alias("_k")).distinct().withColumn("_there", F.lit(True))
-    s = store.alias("s").join(F.broadcast(brands), "marka", "left").withColumn("_key", key("s"))
+    s = store.alias("s").join(brands, "marka", "left").withColumn("_key", key("s"))
     s = s.join(names, (F.col("marka") == F.col("_m")) & (F.col("_key") == F.col("_k")), "left")
     gone = F.col("_listed") & F.col("_there").isNull()
     return s.withColumn("durum", F.when(gone, "kaldirildi").otherwise(F.col("durum"))).drop("_listed", "_m", "_k", "_key", "_there")

@@ -150,6 +150,53 @@ def test_stream(spark, tmp_path):
     assert [r["tip"] for r in spark.read.parquet(str(tmp_path / "s" / "log" / "v2")).collect()] == ["rol_degisti"]
 
 
+def test_stream_touches_its_brands_only(spark, tmp_path):
+    landed, base = tmp_path / "in", str(tmp_path / "s")
+    landed.mkdir()
+
+    def land(number, rows):
+        (landed / f"{number}.json").write_text("\n".join(json.dumps(r | {"tarih": f"2024-01-0{number}T00:00:00"}) for r in rows))
+        assert scans.run(spark, str(landed), base, str(tmp_path / "c")) == number
+        return {r["marka"]: r for r in scans.brands(spark, base, number).collect()}
+
+    def points(brand, numbers, **more):
+        return [{"marka": brand, "bayi_adi": f"Firma{n} Ay", "il": "Konya", "ilce": "Meram", "adres": f"Yol{n} Cad. No: {n}", "telefon": "", "rol": "satis", "kapsam": 1.0} | more for n in numbers]
+
+    state = lambda version, brand: sorted((r["bayi_adi"][5], r["durum"], r["kayip_sayaci"]) for r in scans.snapshot(spark, base, version).filter(f"marka = '{brand}'").collect())
+    got = land(1, points("a", range(1, 6)) + points("b/1", [1, 2]))
+    assert {k: (v["version"], v["son_basarili_adet"], v["ardisik_hata"], v["karantina"]) for k, v in got.items()} == {"a": (1, 5, 0, False), "b/1": (1, 2, 0, False)}
+    got = land(2, [{"marka": "a", "kapsam": 0.0}, {"bayi_adi": "no brand"}])  # nothing came
+    assert (got["a"]["version"], got["a"]["ardisik_hata"], got["a"]["son_deneme_durum"], got["a"]["son_basarili_adet"]) == (2, 1, "hatali", 5)
+    assert got["b/1"]["version"] == 1 and not list((tmp_path / "s" / "store" / "version=2").glob("marka=b*"))
+    got = land(3, [{"marka": "a", "kapsam": 0.0}])
+    assert got["a"]["ardisik_hata"] == 2 and state(3, "a") == [(str(n), "aktif", 0) for n in range(1, 6)]
+    got = land(4, points("a", [1, 2]))  # a fall: quarantine, nobody is missed, the streak stays
+    assert (got["a"]["karantina"], got["a"]["ardisik_hata"], got["a"]["son_deneme_durum"]) == (True, 2, "karantina") and ("5", "aktif", 0) in state(4, "a")
+    got = land(5, points("a", [1, 2], elle=True))  # a hand-kept full list
+    assert (got["a"]["karantina"], got["a"]["ardisik_hata"], got["a"]["son_basarili_adet"]) == (False, 0, 2)
+    assert [x[1] for x in state(5, "a")] == ["aktif"] * 2 + ["kaldirildi"] * 3 and state(5, "b/1") == [("1", "aktif", 0), ("2", "aktif", 0)]
+    assert [r["tip"] for r in spark.read.parquet(f"{base}/log/v5").collect()] == ["kaldirildi"] * 3
+    assert [r["mesaj"] for r in spark.read.parquet(f"{base}/scans/v4").collect()] == ["records fell from 5 to 2"]
+    assert scans.vacuum(spark, base, 5) == [] and len(state(1, "a")) == 5
+    land(6, points("b/1", [1]))
+    assert state(6, "b/1") == [("1", "aktif", 0), ("2", "aktif", 0)] and scans.vacuum(spark, base, 6) == [1, 2, 3, 4] and len(state(6, "a")) == 5
+
+
+def test_matched_meets_all_that_same_firm_accepts(spark):
+    from millrace.operators import identity
+
+    words = ("ay", "yildiz", "demir", "kaya", "deniz", "akin")
+    made = [("m", f"{words[k % 6]} {words[k * 5 % 6]} {words[k // 6 % 6]}", "Konya", "" if k % 3 else "Meram", f"Yol{k % 2} Cad. No: {k % 2 + 1}", "" if k % 4 else f"+9050000000{k % 5:02d}", "satis") for k in range(40)]
+    rows = spark.createDataFrame(made, "marka string, bayi_adi string, il string, ilce string, adres string, telefon string, rol string")
+    held, scan = store.keyed(rows.limit(20)), store.keyed(rows)
+    x, y = identity.prepared(scan).alias("x"), identity.prepared(held).alias("y")
+    every = x.join(y, (F.col("x.f_il") == F.col("y.f_il")) & identity.same_firm("x", "y")).groupBy(F.col("x.tekil_key").alias("k")).agg(F.min("y.tekil_key").alias("m"))
+    own = {r["tekil_key"] for r in held.collect()}
+    want = {r["k"]: r["m"] for r in every.collect() if r["k"] not in own}
+    got = {r["tekil_key"]: r["match"] for r in store.matched(held, scan).collect() if r["tekil_key"] not in own and r["match"]}
+    assert got == want and want
+
+
 def test_reports_empty(spark):
     empty = spark.createDataFrame([], "marka string, kod string, ad string, il string, ilce string, rol string, tel string, adres string, durum string, ord long")
     assert reports.overview(empty).first()["total"] == 0
