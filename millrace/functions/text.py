@@ -202,15 +202,14 @@ def role_of_flags(sales: Column, service: Column) -> Column:
 
 
 def role_of_type(c: Column, mapping: dict[str, str]) -> Column:
-    """The role that a source's own category maps to; unknown ones and parts give ''."""
-    plain = {" ".join("".join(x if x.isalnum() else " " for x in k.lower()).split()): v for k, v in mapping.items()}
+    """The role that a source's own category maps to; unknown ones and parts give ''. Categories are compared by fold()."""
 
     def told(s: Column) -> Column:
         out = F.when((s == "") | _any(s, PARTS_WORDS), "")
-        for k, v in plain.items():
-            out = out.when(s == k, v)
-        for k, v in plain.items():
-            out = out.when(F.contains(s, F.lit(k)), v)
+        for k, v in mapping.items():
+            out = out.when(s == fold(F.lit(k)), v)
+        for k, v in mapping.items():
+            out = out.when(F.contains(s, fold(F.lit(k))), v)
         return out.otherwise("")
 
     return let(fold(c), told)
@@ -263,5 +262,5 @@ def slug(c: Column, by: str = "") -> Column:
 
 def short_number(c: Column) -> Column:
     """1234 as 1,2 B and 1234567 as 1,2 Mn."""
-    shown = lambda x: F.replace(F.format_number(x, 1), F.lit("."), F.lit(","))
+    shown = lambda x: F.translate(F.format_number(x, 1), ".,", ",")  # noqa: E731  without marks of thousands
     return F.when(c >= 1_000_000, F.concat(shown(c / 1_000_000), F.lit(" Mn"))).when(c >= 1000, F.concat(shown(c / 1000), F.lit(" B"))).otherwise(c.cast("string"))

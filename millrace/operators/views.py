@@ -47,14 +47,29 @@ def turkish(column: str) -> Column:
     return F.collate(F.col(column), "tr")
 
 
+def placed(rows: DataFrame, within: str, *order: Column | str) -> DataFrame:
+    """rows with their place, from 1, in that order among the rows of one group."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(within).orderBy(*order)))
+
+
+def fold_order(column: str) -> tuple[Column, ...]:
+    """SORT-03. The matching key of a column, then the column itself."""
+    return fold(F.col(column)), F.col(column)
+
+
 def by_fold(rows: DataFrame, column: str) -> DataFrame:
-    """SORT-03. Rows by the matching key of a column, then by the column itself."""
-    return rows.orderBy(fold(F.col(column)), column)
+    """SORT-03. Rows in fold_order()."""
+    return rows.orderBy(*fold_order(column))
+
+
+def chosen_order(key: str, descending: bool, *ties: str) -> tuple[Column, ...]:
+    """SORT-04. A chosen key and direction, then the ties, ascending."""
+    return (F.desc(key) if descending else F.asc(key), *(F.asc(x) for x in ties))
 
 
 def ordered(rows: DataFrame, key: str, descending: bool, *ties: str) -> DataFrame:
     """SORT-04. Rows by a chosen key and direction; ties by name, ascending."""
-    return rows.orderBy(F.desc(key) if descending else F.asc(key), *ties)
+    return rows.orderBy(*chosen_order(key, descending, *ties))
 
 
 def page(rows: DataFrame, number: int, *by: str, first: int = 150, more: int = 300) -> DataFrame:
@@ -75,9 +90,14 @@ def suggest(points: DataFrame, query: str, provinces: int = 4, brands: int = 4,
     return out.unionByName(few("ilce", "ilce", F.col("il"), ["il", "ilce"], districts)).unionByName(few("bayi", "ad", F.col("il"), ["ad", "il"], firms))
 
 
+def severity_order() -> tuple[Column, ...]:
+    """SORT-09. Worst first, then by brand in Turkish order."""
+    return F.desc("onem"), F.desc("sorunlu"), turkish("marka")
+
+
 def by_severity(rows: DataFrame) -> DataFrame:
     """SORT-09. Diagnosis rows, worst first."""
-    return rows.orderBy(F.desc("onem"), F.desc("sorunlu"), turkish("marka"))
+    return rows.orderBy(*severity_order())
 
 
 def in_districts(points: DataFrame, chosen: list[str]) -> DataFrame:

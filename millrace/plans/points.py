@@ -68,7 +68,7 @@ QUERIES = {
     "agg22_empty_majority": lambda s, d: R.empty_majority(points(s, d).withColumn("email", F.when(F.col("ord") % 3 == 0, "x").otherwise("")), "tel", "ilce", "email"),
     "agg23_growth": lambda s, d: R.growth(points(s, d).filter("yil = 1996").groupBy("marka").agg(F.count("*").alias("n")), points(s, d).filter("yil = 1996 AND ord % 3 = 0").groupBy("marka").agg(F.count("*").alias("n"))),
     "agg25_chips": lambda s, d: R.chips(points(s, d).filter("il = 'NATION_3'")),
-    "agg01_health": lambda s, d: R.health(points(s, d).select("marka").distinct(), points(s, d).filter("yil = 1997")),
+    "agg01_health": lambda s, d: R.health(read(s, d, "part").select(F.col("p_brand").alias("marka")).distinct(), points(s, d)),
     "agg27_counters": lambda s, d: points(s, d).agg(F.count("*").alias("n"), F.count_distinct("marka").alias("n_brands"), F.count_distinct("il", "ilce").alias("n_places"), F.count_if(F.col("durum") != "aktif").alias("stale")),
     "agg28_region_brands": lambda s, d: points(s, d).filter("durum = 'aktif'").groupBy("il", "marka").agg(F.count_if(R.sells()).alias("sales"), F.count_if(R.serves()).alias("service")).filter("sales + service > 0"),
     "agg29_pickers": lambda s, d: points(s, d).select("marka", "il").distinct(),
@@ -97,7 +97,7 @@ ORACLES = {
     "agg22_empty_majority": f"WITH {POINTS}, s AS (SELECT unnest(['tel', 'ilce', 'email']) AS field, unnest([avg((tel = '')::INT), avg((ilce = '')::INT), avg((ord % 3 <> 0)::INT)]) AS x FROM pts) SELECT field, round(x, 6) AS share FROM s WHERE round(x, 6) > 0.5",
     "agg23_growth": f"WITH {POINTS}, b AS (SELECT marka, count(*) AS n FROM pts WHERE yil = 1996 GROUP BY 1), a AS (SELECT marka, count(*) AS n FROM pts WHERE yil = 1996 AND ord % 3 = 0 GROUP BY 1) SELECT marka, b.n AS n_before, coalesce(a.n, 0) AS n_after, CASE WHEN coalesce(a.n, 0) / b.n > 1.3 THEN 'grew' ELSE 'shrank' END AS warning FROM b LEFT JOIN a USING (marka) WHERE b.n >= 20 AND (coalesce(a.n, 0) / b.n > 1.3 OR coalesce(a.n, 0) / b.n < 0.6)",
     "agg25_chips": f"WITH {POINTS} SELECT count(*) AS all_, count(*) FILTER {S} AS sales, count(*) FILTER {V} AS service, count(*) FILTER (rol = 'satis') AS only_sales, count(*) FILTER (rol = 'servis') AS only_service, count(*) FILTER (rol = 'satis_servis') AS both FROM pts WHERE il = 'NATION_3'",
-    "agg01_health": f"WITH {POINTS}, b AS (SELECT DISTINCT marka FROM pts), p AS (SELECT * FROM pts WHERE yil = 1997) SELECT marka, count(*) FILTER (durum = 'aktif') AS aktif, count(*) FILTER (durum = 'dogrulanamadi') AS supheli, count(*) FILTER (durum = 'kaldirildi') AS dusen, count(*) FILTER (durum IN ('aktif', 'dogrulanamadi')) AS toplam FROM b LEFT JOIN p USING (marka) GROUP BY marka",
+    "agg01_health": f"WITH {POINTS}, b AS (SELECT DISTINCT p_brand AS marka FROM part), p AS (SELECT * FROM pts) SELECT marka, count(*) FILTER (durum = 'aktif') AS aktif, count(*) FILTER (durum = 'dogrulanamadi') AS supheli, count(*) FILTER (durum = 'kaldirildi') AS dusen, count(*) FILTER (durum IN ('aktif', 'dogrulanamadi')) AS toplam FROM b LEFT JOIN p USING (marka) GROUP BY marka",
     "agg27_counters": f"WITH {POINTS} SELECT count(*) AS n, count(DISTINCT marka) AS n_brands, count(DISTINCT il || '|' || ilce) AS n_places, count(*) FILTER (durum <> 'aktif') AS stale FROM pts",
     "agg28_region_brands": f"WITH {POINTS} SELECT il, marka, count(*) FILTER {S} AS sales, count(*) FILTER {V} AS service FROM pts WHERE durum = 'aktif' GROUP BY 1, 2",
     "agg29_pickers": f"WITH {POINTS} SELECT DISTINCT marka, il FROM pts",

@@ -120,7 +120,7 @@ QUERIES = {
     "fn02_fold": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(T.fold(F.col("text"))).alias("key")),
     "fn03_title": lambda s, d: read(s, d, "part").select("p_partkey", T.title_tr(F.col("p_name")).alias("title")),
     "fn09_phone": phones,
-    "fn26_backoff": lambda s, d: read(s, d, "nation").select("n_nationkey", T.backoff_hours(F.col("n_nationkey") % 6).alias("hours")),
+    "fn27_backoff": lambda s, d: read(s, d, "nation").select("n_nationkey", T.backoff_hours(F.col("n_nationkey") % 6).alias("hours")),
     "fn30_slug": lambda s, d: read(s, d, "customer").select("c_custkey", T.slug(F.col("c_name"), "-").alias("slug")),
     "fil05_needles": lambda s, d: read(s, d, "documents").filter(F.contains(T.fold(F.col("text")), F.lit("released under")) | F.contains(T.fold(F.col("text")), F.lit("mit license"))).select("doc_id"),
     "fil08_machine_url": lambda s, d: read(s, d, "pages").filter(~T.machine_url(F.col("url"))).select("page_id"),
@@ -147,14 +147,15 @@ QUERIES = {
     "sta03_events": lambda s, d: merged(s, d)[1].groupBy("marka", "tip").agg(F.count("*").alias("n")),
     "mrg03_log": lambda s, d: store.append_log(read(s, d, "events").filter("event_id < 500").select("event_id", "event_type"), read(s, d, "events").filter("event_id > 200").select("event_id", "event_type"), "event_id"),
     "sch03_plan": nation_plan,
-    "er01_firm_groups": lambda s, d: identity.firm_groups(read(s, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("Firma "), (F.col("c_custkey") % 30).cast("string")).alias("bayi_adi"), (F.col("c_nationkey") % 5).cast("string").alias("il"), F.lit("").alias("ilce"), F.concat(F.lit("Yol Sok. No: "), (F.col("c_custkey") % 4 + 1).cast("string")).alias("adres"), F.lit("").alias("telefon"))),
+    "er01_firm_groups": lambda s, d: identity.firm_groups(read(s, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("Firma"), F.floor(F.col("c_custkey") / 16).cast("string")).alias("bayi_adi"), (F.col("c_nationkey") % 5).cast("string").alias("il"), F.lit("").alias("ilce"), F.concat(F.lit("Yol Sok. No: "), (F.col("c_custkey") % 4 + 1).cast("string")).alias("adres"), F.lit("").alias("telefon"))),
 }
 
 ORACLES = {
+    "er01_firm_groups": "WITH r AS (SELECT c_custkey AS id, c_custkey // 16 AS f, c_nationkey % 5 AS il, c_custkey % 4 AS no FROM customer), g AS (SELECT *, min(id) OVER (PARTITION BY f, il, no) AS t FROM r) SELECT id, (dense_rank() OVER (PARTITION BY f, il ORDER BY length('Yol Sok. No: ' || (no + 1)) DESC, t) - 1)::INT AS firma_no, t AS temsilci FROM g",
     "fn02_fold": f"SELECT doc_id, md5({FOLD.format('text')}) AS key FROM documents",
     "fn03_title": "SELECT p_partkey, array_to_string(list_transform(list_filter(regexp_split_to_array(lower(translate(p_name, 'IİĞÜŞÖÇ', 'ıiğüşöç')), '\\s+'), lambda w: w <> ''), lambda w: upper(translate(w[1], 'iığüşöç', 'İIĞÜŞÖÇ')) || w[2:]), ' ') AS title FROM part",
     "fn09_phone": f"WITH c AS (SELECT c_custkey, {RAW_PHONE} AS w FROM customer), x AS (SELECT c_custkey, CASE WHEN w LIKE '%/%' THEN trim(string_split(w, '/')[1]) ELSE w END AS r FROM c), p AS (SELECT c_custkey, {CLEAN_PHONE} AS phone FROM x) SELECT c_custkey, phone, CASE WHEN phone LIKE '+90%' AND length(phone) = 13 THEN '0' || phone[4:6] || ' ' || phone[7:9] || ' ' || phone[10:11] || ' ' || phone[12:13] ELSE phone END AS shown FROM p",
-    "fn26_backoff": "SELECT n_nationkey, least(3 * pow(2.0, greatest(n_nationkey % 6, 1) - 1), 24.0) AS hours FROM nation",
+    "fn27_backoff": "SELECT n_nationkey, least(3 * pow(2.0, greatest(n_nationkey % 6, 1) - 1), 24.0) AS hours FROM nation",
     "fn30_slug": f"SELECT c_custkey, replace({FOLD.format('c_name')}, ' ', '-') AS slug FROM customer",
     "fil05_needles": f"SELECT doc_id FROM documents WHERE contains({FOLD.format('text')}, 'released under') OR contains({FOLD.format('text')}, 'mit license')",
     "fil08_machine_url": "SELECT page_id FROM pages WHERE NOT regexp_matches(lower(url), '(/api/|/ajax|/wp-json/|graphql|\\.json(\\?|$)|\\.xml(\\?|$)|admin-ajax)')",

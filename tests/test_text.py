@@ -78,3 +78,9 @@ def test_freshness(spark):
     df = spark.createDataFrame(rows, "s string, q boolean, g string, t string")
     got = [r[0] for r in df.select(T.freshness(F.col("s"), F.col("q"), F.col("g").cast("timestamp"), F.coalesce("t", F.lit("")), now)).collect()]
     assert got == ["dropped", "quarantine", "failed so far", "never scanned", "last good 2 days ago", "old 12 days", "current"]
+
+
+def test_short_numbers_and_source_types(spark):
+    rows = spark.createDataFrame([(999_960, "Servis Ağı"), (1250, "Yedek Parça / servis ağı"), (7, "x")], "n long, s string")
+    got = rows.select(T.short_number(F.col("n")).alias("n"), T.role_of_type(F.col("s"), {"servis ağı": "servis"}).alias("r")).collect()
+    assert [tuple(r) for r in got] == [("1000,0 B", "servis"), ("1,2 B", ""), ("7", "")]
