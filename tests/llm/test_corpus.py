@@ -294,6 +294,34 @@ def test_line_recall(spark):
     assert df.filter(~line_dedup.similar(F.col("x"), F.col("y"))).count() == 0
 
 
+def test_lines_with_words_changed_on_each_side_meet(spark):
+    """A word on each side of 8 to 14, two on each side of 18 to 30, all pairs with an edit similarity of 0.8: nine in ten share a key."""
+    import random
+
+    r = random.Random(5)
+    letters = "abcdefghijklmnoprstuvyz"
+    words = ["".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    often = [1 / (i + 5) for i in range(3000)]
+
+    def pairs(least, most, each):
+        out = []
+        while len(out) < 150:
+            w = r.choices(words, often, k=r.randint(least, most))
+            at = r.sample(range(len(w)), 2 * each)
+            a, b = (" ".join(r.choice(words) if i in side else x for i, x in enumerate(w)) for side in (at[:each], at[each:]))
+            if levenshtein(a, b, 0.2 * max(len(a), len(b))) <= 0.2 * max(len(a), len(b)):
+                out.append((a, b))
+        return out
+
+    made = pairs(8, 14, 1) + pairs(18, 30, 2)
+    rows = spark.createDataFrame([(2 * i + k, x) for i, ab in enumerate(made) for k, x in enumerate(ab)], "doc_id long, text string")
+    keys = {}
+    for x in line_dedup.occurrences(rows).select("doc_id", "keys").collect():
+        keys.setdefault(x["doc_id"], set()).update(x["keys"])
+    met = [bool(keys[2 * i] & keys[2 * i + 1]) for i in range(300)]
+    assert sum(met[:150]) >= 135 and sum(met[150:]) >= 135
+
+
 def test_lines_with_a_changed_word_meet(spark):
     """One word in six to twelve changed, lost or put in: far beyond three bits of a SimHash of few words."""
     import random
