@@ -28,6 +28,23 @@ def test_same_firm(spark):
     assert pairs(spark, [a, (2, "Yıldız Motor", "Konya", "Selçuklu", "Güneş Bulvarı Uzun Apt 7", "+902")]) == set()
 
 
+def test_same_pairs_of_copies(spark, monkeypatch):
+    """Many copies in several arrays, ids with two records, nulls: the pairs of comparing all with all, each once; and nothing sorts or
+    shuffles them."""
+    rows = [(i, ("Ay Motor", "Gün Yıldız", "Kuzey Yıldız")[i % 3], "Konya", ("Meram", "Ilgın")[i // 3 % 2], f"Ata Cad. No: {i % 2 + 1}", ("", "+901")[i % 5 == 0]) for i in range(60)]
+    rows += [(7, "Gün Yıldız", "Konya", "Meram", "Ata Cad. No: 1", ""), (7, "Gün Yıldız", "Konya", "Meram", "Ata Cad. No: 1", ""), (8, "Gün Yıldız", "Konya", "Meram", "Ata Cad. No: 1", ""), (None, "Ay Motor", "Konya", "Meram", "", "+901"), (99, None, None, None, None, None)]
+    monkeypatch.setattr(identity, "CHUNK", 4)
+    df = spark.createDataFrame(rows, REC)
+    found = identity.same_pairs(df)
+    p = identity.prepared(df).withColumn("keys", identity.block_keys())
+    x, y = p.alias("x"), p.alias("y")
+    every = x.join(y, (F.col("x.id") < F.col("y.id")) & F.arrays_overlap("x.keys", "y.keys") & identity.same_firm("x", "y")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    got, expected = sorted(map(tuple, found.collect())), sorted(map(tuple, every.collect()))
+    assert got == expected and len(got) > 150
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode") < plan.index("Aggregate")  # no aggregate above the pairs
+
+
 def test_firm_groups(spark):
     rows = [(1, "Koç Motor", "Konya", "Meram", "Ata Cad. No: 5", "05321234567"), (2, "Koç Motor", "Konya", "Meram", "", "5321234567"), (3, "Koç Motor", "Konya", "Meram", "Ata Cad. No: 9", "05321234567"), (4, None, None, None, None, None)]
     got = {r["id"]: r["temsilci"] for r in identity.firm_groups(spark.createDataFrame(rows, REC)).collect()}
