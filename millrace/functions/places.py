@@ -61,7 +61,7 @@ def resolve_province(c: Column) -> Column:
     names = _map(BY_KEY | {k: v for k, v in ALIASES.items() if k not in BY_KEY})
 
     def told(f: Column) -> Column:
-        begins = F.get(F.filter(F.array(*(F.lit(k) for k in BY_KEY)), lambda k: F.startswith(f, F.concat(k, F.lit(" ")))), 0)
+        begins = F.regexp_extract(f, f"^(?:{'|'.join(BY_KEY)})(?= )", 0)  # keys are one word each
         return F.when(f == "", "").otherwise(F.coalesce(F.try_element_at(names, f), F.try_element_at(names, begins), title_tr(c)))
 
     return let(fold(c), told)
@@ -88,15 +88,15 @@ def split_place(c: Column) -> Column:
 
 def province_in_text(c: Column) -> Column:
     """The longest province named in free text, the first of equals; a name before a road word is a street."""
-    roads = "|".join(ROAD_WORDS)
-    keys = F.array(*(F.struct(F.lit(-len(k)).alias("n"), F.lit(i).alias("i"), F.lit(p).alias("p"), F.lit(k).alias("k")) for i, (k, p) in enumerate(BY_KEY.items())))
+    # keys are one word each, so that one scan of the text finds all of them
+    named = f"(?<= )(?:{'|'.join(BY_KEY)})(?= )(?! (?:[a-z0-9]+ )?(?:{'|'.join(ROAD_WORDS)})\\b)"
+    places = F.create_map(*(x for i, (k, p) in enumerate(BY_KEY.items()) for x in (F.lit(k), F.struct(F.lit(-len(k)).alias("n"), F.lit(i).alias("i"), F.lit(p).alias("p")))))
 
     def told(f: Column) -> Column:
-        found = F.filter(keys, lambda x: F.contains(f, F.concat(F.lit(" "), x["k"], F.lit(" "))) & F.regexp_like(f, F.concat(F.lit("(?<= )"), x["k"], F.lit(f"(?= )(?! (?:[a-z0-9]+ )?(?:{roads})\\b)"))))
         alias = F.lit("")
         for k, p in reversed(ALIASES.items()):
             alias = F.when(F.contains(f, F.lit(f" {k} ")), p).otherwise(alias)
-        return F.coalesce(F.array_min(found)["p"], alias)
+        return F.coalesce(F.array_min(F.transform(F.regexp_extract_all(f, F.lit(named), F.lit(0)), lambda k: F.try_element_at(places, k)))["p"], alias)
 
     return let(F.concat(F.lit(" "), fold(c), F.lit(" ")), told)
 

@@ -13,6 +13,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """rows over several tasks for each core: short rows lie in few row groups, too few tasks for costly work on each of them."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def points(spark: SparkSession, sf: str) -> DataFrame:
     line, part, sup, nat = (read(spark, sf, t) for t in ("lineitem", "part", "supplier", "nation"))
     j = line.join(part, line.l_partkey == part.p_partkey).join(sup, line.l_suppkey == sup.s_suppkey).join(nat, sup.s_nationkey == nat.n_nationkey)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.places import BY_KEY
 from millrace.sources import cards, embedded, registry
 
-from .points import read
+from .points import dealt, read
 
 PLACES = (("Adana", "Çukurova"), ("Antalya", "Alanya"), ("Hatay", "Antakya"), ("Muğla", "Bodrum"), ("İzmir", "Çeşme"))
 _PLACE = " ".join(f"WHEN {i} THEN named_struct('il', '{il}', 'ilce', '{ilce}')" for i, (il, ilce) in enumerate(PLACES))
@@ -31,7 +31,7 @@ CARDS = (
 
 def card_fields(s: SparkSession, d: str) -> DataFrame:
     """What each customer's card tells."""
-    c = read(s, d, "customer").selectExpr("c_custkey AS k", f"CASE c_custkey % 5 {_PLACE} END AS p").selectExpr("k", "p", f"{PHONE} AS phone")
+    c = dealt(read(s, d, "customer").select("c_custkey")).selectExpr("c_custkey AS k", f"CASE c_custkey % 5 {_PLACE} END AS p").selectExpr("k", "p", f"{PHONE} AS phone")
     parts = "CASE k % 8 " + " ".join(f"WHEN {i} THEN array({x})" for i, x in enumerate(CARDS)) + " END"
     made = c.selectExpr("CAST(k AS string) AS url", "'g' AS grp", "0 AS ord", "1 AS n_phones", "'' AS heading", f"{parts} AS parts")
     districts = s.createDataFrame(list(PLACES), "il string, ilce string")

@@ -37,13 +37,17 @@ def _last_part(c: Column) -> Column:
 def _labelled(bare: Column, label: str) -> Column:
     """(at, upto, value) of the first text with that label; a label alone has its value in the next text."""
 
-    def told(t: Column, i: Column) -> Column:
-        rest = F.regexp_replace(F.regexp_replace(t, label, ""), _EDGE, "")
-        after = F.coalesce(F.get(bare, i + 1), F.lit(""))
-        follows = (rest == "") & (after != "") & ~F.forall(F.array(*map(F.lit, LABELS.values())), lambda p: F.regexp_like(after, p))
-        return F.struct(i.alias("at"), (i + follows.cast("int")).alias("upto"), F.when(follows, F.regexp_replace(after, _EDGE, "")).otherwise(rest).alias("value"), (F.regexp_like(t, F.lit(label)) & (F.length(t) <= 300)).alias("ok"))
+    def told(x: Column) -> Column:
+        rest = F.regexp_replace(F.regexp_replace(x["t"], label, ""), _EDGE, "")
+        after = F.coalesce(F.get(bare, x["at"] + 1), F.lit(""))
+        return T.let(F.struct(x["at"].alias("at"), rest.alias("rest"), after.alias("after")), put)
 
-    return _first(F.transform(bare, told), lambda x: x["ok"] & (x["value"] != ""))
+    def put(x: Column) -> Column:
+        follows = (x["rest"] == "") & (x["after"] != "") & ~x["after"].rlike("|".join(f"(?:{p})" for p in LABELS.values()))
+        return F.struct(x["at"].alias("at"), (x["at"] + follows.cast("int")).alias("upto"), F.when(follows, F.regexp_replace(x["after"], _EDGE, "")).otherwise(x["rest"]).alias("value"))
+
+    labelled = F.filter(F.transform(bare, lambda t, i: F.struct(i.alias("at"), t.alias("t"))), lambda x: (F.length(x["t"]) <= 300) & x["t"].rlike(label))
+    return _first(F.transform(labelled, told), lambda x: x["value"] != "")
 
 
 def _texts(cards: DataFrame) -> DataFrame:
@@ -52,9 +56,11 @@ def _texts(cards: DataFrame) -> DataFrame:
     link = lambda scheme: F.regexp_replace(_first(F.col("_p"), lambda p: p.startswith(scheme)), f"^{scheme}", "")
     held = held.withColumns({"_tel": link("tel:"), "_mailto": link("mailto:"), "_bare": F.filter("_p", lambda p: ~p.startswith("tel:") & ~p.startswith("mailto:"))})
     held = held.withColumns({f"_l_{name}": _labelled(F.col("_bare"), label) for name, label in LABELS.items()})
-    found = F.array_compact(F.array(*(F.col(f"_l_{name}") for name in LABELS)))
-    values = F.filter(F.transform(found, lambda x: T.fold(x["value"])), lambda v: v != "")
-    used = lambda t, i: F.exists(found, lambda x: i.between(x["at"], x["upto"])) | F.exists(values, lambda v: F.startswith(T.fold(t), v))
+    # columns, as what doesn't hang on a lambda's own variable would be computed for each text
+    held = held.withColumn("_found", F.array_compact(F.array(*(F.col(f"_l_{name}") for name in LABELS))))
+    held = held.withColumn("_values", F.filter(F.transform("_found", lambda x: T.fold(x["value"])), lambda v: v != ""))
+    starts = lambda t: (F.size("_values") > 0) & T.let(T.fold(t), lambda f: F.exists("_values", lambda v: F.startswith(f, v)))
+    used = lambda t, i: F.exists("_found", lambda x: i.between(x["at"], x["upto"])) | starts(t)
     numbered = F.filter(F.transform("_bare", lambda t, i: F.struct(i.alias("at"), t.alias("t"), used(t, i).alias("used"))), lambda x: ~x["used"])
     return held.withColumn("_left", numbered)
 
