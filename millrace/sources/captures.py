@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,9 +88,8 @@ def capture_points(landed: DataFrame) -> DataFrame:
     says so, else satis; the province is what was asked for, by its name in the capture's list, empty for an unknown number. Of cards with equal
     brand, name, phone and role the first by capture and answer stays. Null bodies and what is no capture give nothing."""
 
-    @F.pandas_udf("array<struct<bayi_adi: string, ilce: string, adres: string, telefon: string>>")
-    def cards(html: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("bayi_adi", "ilce", "adres", "telefon"), c, strict=True)) for c in page_cards(x)] for x in html], dtype=object)
+    # pages go to Python a hundred at a time, where a batch of Arrow holds ten thousand of them
+    cards = F.udf(lambda html: list(page_cards(html)), "array<struct<bayi_adi: string, ilce: string, adres: string, telefon: string>>", useArrow=False)
 
     found = answers(landed)
     service = F.lower("url").rlike("servis|service") | F.contains(F.lower("post"), F.lit("servis"))

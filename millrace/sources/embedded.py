@@ -1,7 +1,7 @@
 """Records within the scripts of framework pages: streamed chunks that make one text, and flat lists of state objects.
 
 Chunks aren't valid JSON together, so the array after a key is cut out by matching brackets outside of strings, in one scan of the
-page's text (an Arrow-batched function of one text; no recursion). All else is native. Nulls, cut pages and pages without such
+page's text (a function of one text; no recursion). All else is native. Nulls, cut pages and pages without such
 scripts give no records; of records with equal keys on a page the first stays."""
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,15 +47,19 @@ def array_after(text: str, name: str) -> str | None:
     return None
 
 
+def _of_page(f):
+    """A function of one page's text. Pages go to Python a hundred at a time, where a batch of Arrow holds ten thousand of them."""
+    return F.udf(f, "string", useArrow=False)
+
+
 def chunk_arrays(pages: DataFrame, names: tuple[str, ...] = POINT_KEYS) -> DataFrame:
     """url, array: the JSON text after the first of the names that has an array, of pages with one."""
 
-    @F.pandas_udf("string")
-    def cut(html: pd.Series) -> pd.Series:
-        found = ((array_after(t, n) for n in names) for t in map(chunk_text, html))
-        return pd.Series([next((x for x in arrays if x is not None), None) for arrays in found], dtype=object)
+    def cut(html):
+        text = chunk_text(html)
+        return next((x for x in (array_after(text, n) for n in names) if x is not None), None)
 
-    return pages.select("url", cut("html").alias("array")).filter("array is not null")
+    return pages.select("url", _of_page(cut)("html").alias("array")).filter("array is not null")
 
 
 def _first(records: DataFrame, *keys: Column) -> DataFrame:
@@ -162,10 +165,9 @@ def script_points(pages: DataFrame, border: list[tuple[float, float]], centres:
     of the border or of another country are dropped, points without a name too; one that names no province has that of the nearest
     centre within most_km. A page more than half of whose points have tokens in place of names or addresses gives none."""
 
-    @F.pandas_udf("string")
-    def points(html: pd.Series) -> pd.Series:
-        found = map(largest_list, html)
-        return pd.Series([json.dumps(x, ensure_ascii=False) if x else None for x in found], dtype=object)
+    def points(html):
+        found = largest_list(html)
+        return json.dumps(found, ensure_ascii=False) if found else None
 
     entries = F.transform(F.from_json("_json", "array<map<string, string>>"), lambda m: F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))))
 
@@ -185,7 +187,7 @@ def script_points(pages: DataFrame, border: list[tuple[float, float]], centres:
         junk = ~noise.name_like(x["bayi_adi"]) | ((x["adres"] != "") & ~noise.name_like(x["adres"]))
         return F.struct(*(x[f].alias(f) for f in ALIASES if f not in ("lat", "lng", "country")), F.when(placed, lat).alias("lat"), F.when(placed, lng).alias("lng"), ((x["bayi_adi"] != "") & at_home).alias("ok"), junk.alias("junk"))
 
-    held = pages.select("url", points("html").alias("_json")).filter("_json IS NOT NULL").select("url", F.transform(entries, told).alias("_x"))
+    held = pages.select("url", _of_page(points)("html").alias("_json")).filter("_json IS NOT NULL").select("url", F.transform(entries, told).alias("_x"))
     sound = held.filter(2 * F.size(F.filter("_x", lambda x: x["ok"] & x["junk"])) <= F.size("_x"))
     each = sound.select("url", F.posexplode("_x").alias("ord", "x")).filter("x.ok AND NOT x.junk").select("url", "ord", "x.*")
     near = geo.nearest(each, centres, most_km)
