@@ -10,7 +10,7 @@ from millrace.functions import text as T
 from millrace.operators import brands, identity, schedule, store
 from millrace.operators import views as W
 
-from .points import POINTS, points, read
+from .points import POINTS, dealt, points, read
 from .records import FOLD
 
 #: Words around which texts with faults are made; both engines read these expressions.
@@ -23,7 +23,7 @@ DAY0 = "TIMESTAMP '2024-03-10 12:00:00'"
 
 
 def customers(s: SparkSession, d: str, *columns: str) -> DataFrame:
-    return read(s, d, "customer").selectExpr("c_custkey", *columns)
+    return dealt(read(s, d, "customer")).selectExpr("c_custkey", *columns)
 
 
 def fn01_case(s: SparkSession, d: str) -> DataFrame:
