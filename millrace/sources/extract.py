@@ -8,10 +8,9 @@ from __future__ import annotations
 import bisect
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -125,52 +124,47 @@ def field_value(node: dict, spec: dict) -> str:
     return value
 
 
+def by_page(pages: DataFrame, rows: Callable[[str | None], Iterable[tuple]], schema: str) -> DataFrame:
+    """url and schema: the rows of each page's html. Pages go to Python a hundred at a time, where batches of Arrow hold ten thousand of them
+    with all their rows."""
+    found = F.udf(lambda html: list(rows(html)), f"array<struct<{schema}>>", useArrow=False)
+    return pages.select("url", F.explode(found("html")).alias("_x")).select("url", "_x.*")
+
+
 def recipe_rows(pages: DataFrame, row: str, fields: dict[str, dict]) -> DataFrame:
     """url, ord and a text column for each field of every node that `row` selects. A field: sel, attr, regex, index."""
 
-    def rows(batches):
-        for batch in batches:
-            out = []
-            for url, html in zip(batch["url"], batch["html"], strict=True):
-                for i, node in enumerate(select(tree(html), row)):
-                    made = {"url": url, "ord": i}
-                    for name, spec in fields.items():
-                        made[name] = field_value(node, spec)
-                    out.append(made)
-            yield pd.DataFrame(out, columns=["url", "ord", *fields])
-
-    found = pages.select("url", "html").mapInPandas(rows, ", ".join(["url string", "ord int", *(f"`{f}` string" for f in fields)]))
+    def rows(html):
+        for i, node in enumerate(select(tree(html), row)):
+            yield (i, *(field_value(node, spec) for spec in fields.values()))
+
+    found = by_page(pages, rows, ", ".join(["ord: int", *(f"`{f}`: string" for f in fields)]))
     return found.select("url", "ord", *(T.clean_text(F.col(f)).alias(f) for f in fields))
 
 
-CARDS = "url string, grp string, ord int, n_phones int, heading string, parts array<string>"
+_CARD = "grp: string, ord: int, n_phones: int, heading: string, parts: array<string>"
 
 
 def card_groups(pages: DataFrame) -> DataFrame:
     """Candidate cards: leaf-most nodes that repeat their (tag, class) on the page, with the heading before each."""
 
-    def rows(batches):
-        for batch in batches:
-            out = []
-            for url, html in zip(batch["url"], batch["html"], strict=True):
-                heading, groups = "", {}
-                for node in nodes(tree(html)):
-                    if re.fullmatch("h[1-6]", node["tag"]):
-                        heading = " ".join(leaves(node))
-                    if node["tag"] and node["tag"] not in ("html", "body"):
-                        groups.setdefault(f"{node['tag']}.{node['class']}", []).append((node, heading))
-                for name, members in groups.items():
-                    same = {id(n) for n, _ in members}
-                    inner = [(n, h) for n, h in members if not any(id(x) in same for x in nodes(n) if x is not n)]
-                    if len(inner) < 2:
-                        continue
-                    for i, (node, h) in enumerate(inner):
-                        parts = list(leaves(node))
-                        phones = sum(1 for p in parts if _PHONE.search(p.removeprefix("tel:")))
-                        out.append((url, name, i, phones, h, parts))
-            yield pd.DataFrame(out, columns=["url", "grp", "ord", "n_phones", "heading", "parts"])
-
-    return pages.select("url", "html").mapInPandas(rows, CARDS)
+    def rows(html):
+        heading, groups = "", {}
+        for node in nodes(tree(html)):
+            if re.fullmatch("h[1-6]", node["tag"]):
+                heading = " ".join(leaves(node))
+            if node["tag"] and node["tag"] not in ("html", "body"):
+                groups.setdefault(f"{node['tag']}.{node['class']}", []).append((node, heading))
+        for name, members in groups.items():
+            same = {id(n) for n, _ in members}
+            inner = [(n, h) for n, h in members if not any(id(x) in same for x in nodes(n) if x is not n)]
+            if len(inner) < 2:
+                continue
+            for i, (node, h) in enumerate(inner):
+                parts = list(leaves(node))
+                yield name, i, sum(1 for p in parts if _PHONE.search(p.removeprefix("tel:"))), h, parts
+
+    return by_page(pages, rows, _CARD)
 
 
 # Classes of a page's grid, and signs of an address.
@@ -237,15 +231,12 @@ def page_containers(html: str, least: int = 2, first: int = 12) -> list[list[tup
 def containers(pages: DataFrame, least: int = 2, first: int = 12) -> DataFrame:
     """The members of the first groups of each page (see page_containers), as card_records() reads them; grp is the group's rank."""
 
-    def rows(batches):
-        for batch in batches:
-            out = []
-            for url, html in zip(batch["url"], batch["html"], strict=True):
-                for rank, group in enumerate(page_containers(html, least, first)):
-                    out += [(url, f"{rank:03d}", i, *member) for i, member in enumerate(group)]
-            yield pd.DataFrame(out, columns=["url", "grp", "ord", "n_phones", "heading", "parts"])
+    def rows(html):
+        for rank, group in enumerate(page_containers(html, least, first)):
+            for i, member in enumerate(group):
+                yield (f"{rank:03d}", i, *member)
 
-    return pages.select("url", "html").mapInPandas(rows, CARDS)
+    return by_page(pages, rows, _CARD)
 
 
 ADDRESS = r"\b(mah|mh|mahalle|mahallesi|cad|cd|cadde|caddesi|sok|sk|sokak|blv|bulv|bulvar|no|osb|sanayi|apt|plaza)\b"
@@ -270,12 +261,14 @@ def card_records(cards: DataFrame) -> DataFrame:
 
 
 def best_group(records: DataFrame, least: float = 0.45) -> DataFrame:
-    """The records of each page's best group: two or more, quality at least `least`, the most n * (1 + quality)."""
+    """The records of each page's best group: two or more, quality at least `least`, the most n * (1 + quality). A group of a page is one row
+    while they are ranked, so pages are read once and not again for a join with the best."""
     name = F.col("bayi_adi") != ""
-    q = 0.45 * F.avg(name.cast("double")) + 0.25 * F.avg((F.col("telefon") != "").cast("double")) + 0.2 * F.avg((F.col("adres") != "").cast("double")) + 0.1 * F.count_distinct("bayi_adi") / F.count("*")
-    ranked = records.groupBy("url", "grp").agg(F.count("*").alias("_n"), q.alias("quality")).filter((F.col("_n") >= 2) & (F.col("quality") >= least))
-    best = ranked.groupBy("url").agg(F.max(F.struct((F.col("_n") * (1 + F.col("quality"))).alias("s"), "grp", "quality")).alias("b")).select("url", "b.grp", F.round("b.quality", 6).alias("quality"))
-    return records.join(best, ["url", "grp"])
+    q = 0.45 * F.avg(name.cast("double")) + 0.25 * F.avg((F.col("telefon") != "").cast("double")) + 0.2 * F.avg((F.col("adres") != "").cast("double")) + 0.1 * F.size(F.collect_set("bayi_adi")) / F.count("*")
+    fields = [c for c in records.columns if c not in ("url", "grp")]
+    ranked = records.filter("url IS NOT NULL AND grp IS NOT NULL").groupBy("url", "grp").agg(F.count("*").alias("_n"), q.alias("quality"), F.collect_list(F.struct(*fields)).alias("_rows")).filter((F.col("_n") >= 2) & (F.col("quality") >= least))
+    best = ranked.groupBy("url").agg(F.max_by(F.struct("grp", "quality", "_rows"), F.struct((F.col("_n") * (1 + F.col("quality"))).alias("s"), "grp", "quality")).alias("_b"))
+    return best.select("url", "_b.grp", F.explode("_b._rows").alias("_x"), F.round("_b.quality", 6).alias("quality")).select("url", "grp", "_x.*", "quality")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -332,24 +325,20 @@ def embedded_json(pages: DataFrame, least: int = 3) -> DataFrame:
             for y in x.values():
                 yield from lists(y)
 
-    def rows(batches):
-        for batch in batches:
-            out = []
-            for url, html in zip(batch["url"], batch["html"], strict=True):
-                best: list = []
-                for script in re.findall(r"(?is)<script\b[^>]*>(.*?)</script>", html or ""):
-                    at = 0
-                    while (m := re.compile(r"[\[{]").search(script, at)) is not None:
-                        try:
-                            value, at = json.JSONDecoder().raw_decode(script, m.start())
-                        except ValueError:
-                            at = m.start() + 1
-                            continue
-                        best = max([best, *lists(value)], key=len)
-                out += [(url, i, json.dumps(r, ensure_ascii=False)) for i, r in enumerate(best)]
-            yield pd.DataFrame(out, columns=["url", "ord", "record"])
-
-    return pages.select("url", "html").mapInPandas(rows, "url string, ord int, record string")
+    def rows(html):
+        best: list = []
+        for script in re.findall(r"(?is)<script\b[^>]*>(.*?)</script>", html or ""):
+            at = 0
+            while (m := re.compile(r"[\[{]").search(script, at)) is not None:
+                try:
+                    value, at = json.JSONDecoder().raw_decode(script, m.start())
+                except ValueError:
+                    at = m.start() + 1
+                    continue
+                best = max([best, *lists(value)], key=len)
+        return [(i, json.dumps(r, ensure_ascii=False)) for i, r in enumerate(best)]
+
+    return by_page(pages, rows, "ord: int, record: string")
 
 
 def xml_rows(landed: DataFrame, schema: str, body: str = "body") -> DataFrame:
