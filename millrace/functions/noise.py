@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +26,23 @@ TRADES = (
 MAIL_OR_SITE = r"(?iu)^[^@\s]+@[^@\s]+\.[a-z]{2,}$|^(https?://|www\.)"
 
 
+_UNIT = re.compile(r"(?:\[[^\]]*\]|\\.|.)[?*+]?")
+
+
+def _any(words: tuple[str, ...]) -> str:
+    """A pattern that fits what any of the words does, common beginnings written once: at each place of a text a few units are tried, not
+    all the words."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        unit = _UNIT.match(w)
+        heads.setdefault(unit[0] if unit else "", []).append(w[unit.end() :] if unit else "")
+    shown = [h + (rest[0] if len(rest) == 1 else _any(tuple(dict.fromkeys(rest)))) for h, rest in heads.items()]
+    return f"(?:{'|'.join(shown)})"
+
+
 def _whole(words: tuple[str, ...]) -> str:
     """Any of the words, not within a longer one."""
-    return r"(?iu)(^|[^\p{L}\p{N}_])(" + "|".join(words) + r")($|[^\p{L}\p{N}_])"
+    return r"(?iu)(?<![\p{L}\p{N}_])" + _any(words) + r"(?![\p{L}\p{N}_])"
 
 
 def placeholder(c: Column) -> Column:
@@ -35,7 +51,7 @@ def placeholder(c: Column) -> Column:
 
 
 def call_to_action(c: Column) -> Column:
-    return text(c).rlike("(?iu)(" + "|".join(CALLS) + ")")
+    return text(c).rlike("(?iu)" + _any(CALLS))
 
 
 def button(c: Column) -> Column:
@@ -59,11 +75,18 @@ def name_like(c: Column) -> Column:
 
     def told(t: Column) -> Column:
         token = (F.length(t) <= 8) & t.rlike("^[A-Za-z0-9]+$") & t.rlike("[0-9]")
-        return (F.length(t) >= 4) & (F.regexp_count(t, F.lit(r"\p{L}")) >= 3) & ~t.rlike(MAIL_OR_SITE) & ~token
+        return (F.length(t) >= 4) & t.rlike(r"\p{L}\P{L}*+\p{L}\P{L}*+\p{L}") & ~t.rlike(MAIL_OR_SITE) & ~token
 
     return let(F.regexp_replace(text(c), r"^\s+|\s+$", ""), told)
 
 
 def may_be_name(c: Column) -> Column:
     """No placeholder, call, button or list of categories, and like a name."""
-    return name_like(c) & ~placeholder(c) & ~call_to_action(c) & ~button(c) & ~category_list(c)
+    return named(name_like(c), placeholder(c), call_to_action(c), button(c), category_list(c))
+
+
+def named(like: Column, *others: Column) -> Column:
+    """may_be_name() of what the other predicates told."""
+    for told in others:
+        like = like & ~told
+    return like

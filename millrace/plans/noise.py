@@ -19,8 +19,10 @@ def line_noise(s: SparkSession, d: str) -> DataFrame:
     lines = read(s, d, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "line"))
     extra = "element_at(array(" + ", ".join(f"'{x}'" for x in EXTRA) + f"), cast((doc_id + i) div 3 % {len(EXTRA)} as int) + 1)"
     shown = lines.selectExpr("doc_id", f"{_LINE.format(extra=extra)} AS line")
-    kinds = {"placeholders": noise.placeholder, "calls": noise.call_to_action, "buttons": noise.button, "categories": noise.category_list, "trades": noise.trade_word, "name_like": noise.name_like, "names": noise.may_be_name}
-    return shown.groupBy("doc_id").agg(F.count("*").alias("n_lines"), *(F.count_if(f(F.col("line"))).alias(k) for k, f in kinds.items()))
+    kinds = {"placeholders": noise.placeholder, "calls": noise.call_to_action, "buttons": noise.button, "categories": noise.category_list, "trades": noise.trade_word, "name_like": noise.name_like}
+    told = shown.select("doc_id", *(f(F.col("line")).alias(k) for k, f in kinds.items()))
+    names = noise.named(*(F.col(k) for k in ("name_like", "placeholders", "calls", "buttons", "categories")))
+    return told.groupBy("doc_id").agg(F.count("*").alias("n_lines"), *(F.count_if(k).alias(k) for k in kinds), F.count_if(names).alias("names"))
 
 
 _EDGE = r"[^\p{L}\p{N}_]"
