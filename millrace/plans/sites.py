@@ -70,7 +70,7 @@ RECIPES = {
 
 def recipes(s: SparkSession, d: str) -> DataFrame:
     """Customers' pages by a recipe of cards and suppliers' answers by one of JSON paths, in one table function; the registry is a table."""
-    c, sup = read(s, d, "customer"), read(s, d, "supplier")
+    c, sup = dealt(read(s, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")), dealt(read(s, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
     html = "concat('<h2>Bölge ', c_nationkey, '</h2><div class=\"x kart\"><b>', c_name, '</b><p>Tel: <i>', c_mktsegment, '</i></p></div>')"
     body = """to_json(named_struct('data', named_struct('points', array(named_struct('id', concat('S-', s_suppkey), 'info', named_struct('name', s_name), 'phones', array(CAST(s_nationkey AS string), 'x'))))))"""
     pages = c.selectExpr("'kart' AS marka", "CAST(c_custkey AS string) AS url", f"{html} AS body").unionByName(sup.selectExpr("'liste' AS marka", "CAST(s_suppkey AS string) AS url", f"{body} AS body"))
