@@ -138,7 +138,7 @@ class ChunkEncoder:
             return 0
         if self.kind == "words":
             return len(text) if text.isascii() else len(unicodedata.normalize("NFC", text).lower().encode())
-        return len(text.encode()) if text[0] in " \n" else 0
+        return (len(text) if text.isascii() else len(text.encode())) if text[0] in " \n" else 0
 
     def encode(self, texts: list[str]):
         """Yields (first, last, ids, bounds) for runs of texts: ids of texts first..last-1, text i's between
@@ -161,11 +161,13 @@ class ChunkEncoder:
         slot = np.fromiter(map(self.slots.get, keys, repeat(-1)), np.int64, len(keys))
         missing = np.flatnonzero(slot < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys(keys[i] for i in missing)))
-            slot[missing] = np.fromiter((self.slots[keys[i]] for i in missing), np.int64, len(missing))
-            for i in missing:  # whole texts aren't kept
-                if keys[i][:1] == "\x01":
-                    self.slots.pop(keys[i], None)
+            found = [keys[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(found))
+            self._learn(new)
+            slot[missing] = np.fromiter(map(self.slots.__getitem__, found), np.int64, len(found))
+            for key in new:  # whole texts aren't kept
+                if key[:1] == "\x01":
+                    self.slots.pop(key, None)
         sizes, starts = self.lengths[slot], self.starts[slot]
         ends = np.cumsum(sizes)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)

@@ -20,6 +20,8 @@ _TOP = np.uint64(60)
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bit lengths, exact for all 64 bits."""
+    if not len(values) or values.max() < 1 << 32:
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
     return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
@@ -54,8 +56,9 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     stop = begin + np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
     bits = _bits(laid)
     levels = _levels(bits)
-    selector = np.full(len(laid), RAW, np.uint8)
-    for s in range(len(COUNTS) - 1, -1, -1):
+    widest = np.searchsorted(WIDTHS, bits.max())  # selectors from here on hold any of the values, the first of them the most
+    selector = np.full(len(laid), widest if widest < len(COUNTS) else RAW, np.uint8)
+    for s in range(widest - 1, -1, -1):
         np.copyto(selector, np.uint8(s), where=_over(bits, COUNTS[s], levels) <= WIDTHS[s])
     take = np.array([*COUNTS, 1, 0], np.int64)[selector]
     changes = (laid != np.append(laid[1:], ~laid[-1])).astype(np.uint8)
@@ -66,12 +69,13 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         long, run = long[run > 60], run[run > 60]
         selector[long], take[long] = RUN, run
     # follow the words of all blocks at once
-    heads, at, last = np.zeros(len(laid), bool), begin, stop
-    while len(at):
-        heads[at] = True
-        at = at + take[at]
-        more = at < last
-        at, last = at[more], last[more]
+    heads, at = np.zeros(len(laid), bool), begin.copy()
+    while (at < stop).any():
+        for _ in range(16):  # a block that has ended stays at its end, which is no head
+            heads[at] = True
+            at += take[at]
+            np.minimum(at, stop, out=at)
+    heads[stop] = False
     at = np.flatnonzero(heads)
     chosen = selector[at]
     size = np.where(chosen == RAW, 2, 1)

@@ -38,6 +38,14 @@ def test_simple8b_round_trip(values, times):
         assert (last == v[(len(offsets) - 1) * simple8b.BLOCK :]).all()
 
 
+def test_simple8b_looks_at_no_wider_selector(monkeypatch):
+    looks, over = [], simple8b._over
+    monkeypatch.setattr(simple8b, "_over", lambda a, count, levels: looks.append(count) or over(a, count, levels))
+    v = np.arange(3000, dtype=np.uint64) % 128
+    words, offsets = simple8b.encode(v)
+    assert (simple8b.decode(words, offsets, 3000) == v).all() and len(looks) == 7  # widths of 1 to 6 bits, and runs
+
+
 def test_simple8b_is_small():
     assert len(simple8b.encode(np.zeros(100_000, np.uint64))[0]) <= 100
     assert len(simple8b.encode(np.full(1024, 2**15 - 1, np.uint64) - np.arange(1024, dtype=np.uint64) % 2)[0]) == 256
