@@ -32,6 +32,11 @@ def encoder(path: str) -> ChunkEncoder:
     return _loaded[path]
 
 
+def forget() -> None:
+    """Lets this worker's encoders and their chunks go."""
+    _loaded.clear()
+
+
 class ChunkEncoder:
     """max_chunks bounds the memory for chunks; when it is full, the worker starts anew."""
 

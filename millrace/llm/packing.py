@@ -23,6 +23,7 @@ from bisect import insort
 from heapq import heappop, heappush
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,6 +182,16 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int
     return number, offset
 
 
+def _packed(group: int, rows: pd.DataFrame, round_: int, capacity: int) -> pd.DataFrame:
+    """A group's rows with their places. Its worker lets the chunks of the texts go, as lengths need none: a reused worker would hold them, next
+    to a full heap, until long after the last step."""
+    encoder.forget()
+    number, offset = pack_lengths(rows["length"].tolist(), capacity)
+    number = np.array(number, np.int64)
+    fill = np.bincount(number, rows["length"].to_numpy(), minlength=int(number.max(initial=-1)) + 1)
+    return rows.drop(columns="_group").assign(sequence_id=number + (group << 28) + (round_ << 57), offset=offset, _open=fill[number] < capacity)
+
+
 def pack(spark: SparkSession, table: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP_SIZE) -> DataFrame:
     """The rows of a table with a column length (1 to capacity), with sequence_id and offset as further columns."""
     scratch, done = shared.Scratch(spark, "packing"), []
@@ -192,10 +203,7 @@ def pack(spark: SparkSession, table: DataFrame, capacity: int = CAPACITY, group_
         groups = max(1, math.ceil(n / group_size))
 
         def packed(key, rows):
-            number, offset = pack_lengths(rows["length"].tolist(), capacity)
-            number = np.array(number, np.int64)
-            fill = np.bincount(number, rows["length"].to_numpy(), minlength=int(number.max(initial=-1)) + 1)
-            return rows.drop(columns="_group").assign(sequence_id=number + (int(key[0]) << 28) + (round_ << 57), offset=offset, _open=fill[number] < capacity)[names]
+            return _packed(int(key[0]), rows, round_, capacity)[names]
 
         grouped = left.withColumn("_group", F.pmod("_deal", F.lit(groups))).groupBy("_group")
         found = scratch.save(grouped.applyInPandas(packed, schema), f"round{round_}")

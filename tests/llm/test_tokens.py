@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import packing, shared, simple8b, token_counts, token_ids
+from millrace.llm import encoder, packing, shared, simple8b, token_counts, token_ids
 from millrace.llm.encoder import ChunkEncoder, tokenizer_path
 
 ODD = ["", "a  b", "<|endoftext|> x", " lead", "trail ", "a\n\nb\t c", "a \n b", "it's don't 'S", "a\x1cb c", "\x00z q", "\x01", "été ́x", "a\r\nb", "  ", "\n", "x" * 3000, "ΣΑΣ Σ", "1234 567 ab12", "end.\nNext, one!", "東京 タワー", "word" * 200 + " " + "word" * 200, " a  b"]
@@ -158,3 +158,13 @@ def test_token_counts_cache(spark, documents, rows, empty, tmp_path):
     held = spark.read.parquet(cache)
     assert held.count() == held.select("digest").distinct().count() == documents.select(shared.whole_text()).distinct().count()
     assert token_counts.count(spark, empty, path, cache).count() == 0 and spark.read.parquet(cache).count() == held.count()
+
+
+def test_packing_lets_a_workers_chunks_go():
+    import pandas as pd
+
+    path = tokenizer_path("word_bpe_49k.json")
+    encoder.encoder(path)
+    got = packing._packed(3, pd.DataFrame({"length": [4000, 96, 5], "_group": 3}), 0, 4096)
+    assert not encoder._loaded
+    assert sorted(zip(got["length"], got["_open"], strict=True)) == [(5, True), (96, False), (4000, False)]
