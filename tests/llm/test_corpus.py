@@ -570,3 +570,19 @@ def test_suffix_tree_equals_dictionaries(spark):
     assert sums[4][0] > sums[1][0] > sums[1][1]
     with_head = suffix_tree_lm.score(spark, docs, context=1e-3, entry=1e-4, head=1e-4).filter("held_out").agg({"score": "sum"}).first()[0]
     assert with_head > sums[4][1]
+
+
+def test_suffix_tree_splits_each_text_once(spark):
+    """Words, levels of the head and scores come from one reading of the texts."""
+    from pyspark.sql import functions
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    docs = spark.createDataFrame([(i, prose(i, 80)) for i in range(30)], "doc_id long, text string").coalesce(1)
+    each = docs.withColumn("text", functions.udf(counted, "string")("text"))
+    assert suffix_tree_lm.score(spark, each, context=1e-3, entry=1e-4, head=1e-4).count() == 30
+    assert seen.value == 30
