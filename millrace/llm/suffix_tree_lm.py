@@ -31,7 +31,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from dataclasses import dataclass, field, replace
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -46,7 +46,7 @@ from . import shared
 ORDER, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 4, 5e-5, 1e-6, 4e-7, 2, 0.75, 1.0
 HEAD_LEAST, HEAD_GAIN = 4, 10.0
 END = b""
-_FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT, _SLICES = 4_000_000, 500_000, 1_000_000, 2**14, 4
+_FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT, _SLICES = 1_000_000, 250_000, 1_000_000, 2**14, 4
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -154,27 +154,32 @@ def _split(documents: DataFrame) -> DataFrame:
     """SPLIT of documents (doc_id, held_out, text): batches of texts. docs: _DOCS; texts: _TEXT of each text; words: _WORDS, the batch's distinct
     words with their number in training texts; ids: of each token, its word's place there."""
 
-    def batch_row(batch, docs, held, texts):
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    def numbered() -> defaultdict:
+        """Gives each new word the next number."""
         places: defaultdict = defaultdict()
         places.default_factory = places.__len__
-        ids = np.fromiter(map(places.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+        return places
+
+    def batch_row(batch, docs, held, texts, places):
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ids = np.concatenate(texts)
         train = ~np.array(held, bool)
         n = np.bincount(ids[np.repeat(train, sizes)], minlength=len(places))
-        told = _ipc(_DOCS, docs), _pack({"n": sizes.astype("<u4"), "train": train.astype("u1")}), _pack({"id": ids.astype("<u4")}), _ipc(_WORDS, list(places), n)
+        told = _ipc(_DOCS, docs), _pack({"n": sizes.astype("<u4"), "train": train.astype("u1")}), _pack({"id": ids}), _ipc(_WORDS, list(places), n)
         return _table(SPLIT, [(batch, *told)])
 
     def rows(batches):
-        docs, held, texts, n, batch = [], [], [], 0, TaskContext.get().partitionId() << 24
+        docs, held, texts, n, places, batch = [], [], [], 0, numbered(), TaskContext.get().partitionId() << 24
         for given in batches:
             for doc, h, text in zip(given.column("doc_id"), given.column("held_out"), given.column("text"), strict=True):
-                docs.append(doc.as_py()), held.append(h.as_py()), texts.append(words_of(text.as_py()))
-                n += len(texts[-1])
+                words = words_of(text.as_py())
+                docs.append(doc.as_py()), held.append(h.as_py()), texts.append(np.fromiter(map(places.__getitem__, words), "<u4", len(words)))
+                n += len(words)
                 if n > _BATCH_WORDS or len(texts) == 2**16:
-                    yield batch_row(batch, docs, held, texts)
-                    docs, held, texts, n, batch = [], [], [], 0, batch + 1
+                    yield batch_row(batch, docs, held, texts, places)
+                    docs, held, texts, n, places, batch = [], [], [], 0, numbered(), batch + 1
         if texts:
-            yield batch_row(batch, docs, held, texts)
+            yield batch_row(batch, docs, held, texts, places)
 
     return documents.select("doc_id", "held_out", "text").mapInArrow(rows, SPLIT)
 
