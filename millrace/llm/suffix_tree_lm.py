@@ -46,7 +46,7 @@ from . import shared
 ORDER, CONTEXT, ENTRY, HEAD, LEAST, DISCOUNT, GAIN = 4, 5e-5, 1e-6, 4e-7, 2, 0.75, 1.0
 HEAD_LEAST, HEAD_GAIN = 4, 10.0
 END = b""
-_FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT, _SLICES = 1_000_000, 250_000, 1_000_000, 2**14, 4
+_FLUSH_KEYS, _BATCH_WORDS, _BUCKET_WORDS, _UNIT, _SLICES = 1_000_000, 250_000, 1_000_000, 2**14, 6
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -580,6 +580,7 @@ def score(spark: SparkSession, documents: DataFrame, order: int = ORDER, least:
     counts = vocabulary.select("word", F.col("n").alias("c"))
     told = rare.join(counts, F.col("r.word") == F.col("word"), "left").groupBy("r.row").agg(F.sum(log).alias("_log"), F.sum(F.when(F.col("c") > 0, F.col("r.n"))).alias("_known"))
     told = scratch.save(told, "rare")
+    scratch.drop("vocabulary")
     scored = _scored(spark, scratch, encoded, tree, order, least, gain=gain)
     found = scored.join(told, "row", "left")
     base = F.col("base") + F.coalesce("_log", F.lit(0.0))
