@@ -586,3 +586,36 @@ def test_suffix_tree_splits_each_text_once(spark):
     each = docs.withColumn("text", functions.udf(counted, "string")("text"))
     assert suffix_tree_lm.score(spark, each, context=1e-3, entry=1e-4, head=1e-4).count() == 30
     assert seen.value == 30
+
+
+def test_line_keys_in_parts(spark):
+    """The parts of the keys are together all keys, and a key of one part is in no other, whatever the line."""
+    texts = [prose(i, 2 + i % 70, 10**6) for i in range(140)]
+    held = line_dedup._lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "scale", line_dedup._keys().alias("all"), *(line_dedup._keys(k).alias(f"k{k}") for k in range(line_dedup.KEY_PARTS))).collect()
+    own = [{k for x in held for k in x[f"k{p}"]} for p in range(line_dedup.KEY_PARTS)]
+    assert all(sorted(x["all"]) == sorted(k for p in range(line_dedup.KEY_PARTS) for k in x[f"k{p}"]) and len(set(x["all"])) == len(x["all"]) for x in held)
+    assert all(own) and sum(map(len, own)) == len(set().union(*own))
+
+
+def test_lines_are_refused_by_letters(spark):
+    """Pairs with an edit similarity of 0.8 are never refused by their letters; most pairs of unlike lines are."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    r, made = random.Random(12), []
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzäöüßéàж字09") for _ in range(r.randint(2, 9))) for _ in range(400)]
+    for i in range(200):
+        x = " ".join(r.choices(words, k=r.randint(4, 60)))
+        y = list(x)
+        for _ in range(int(0.2 * len(x))):
+            at = r.randrange(len(y))
+            y[at : at + 1] = [[], [r.choice("eqä字")], [y[at], r.choice("eqä字")]][r.randrange(3) if i % 2 else 1]
+        made += [(2 * i, x, "".join(y)), (2 * i + 1, x, " ".join(r.choices(words, k=len(x) // 6)))]
+    rows = spark.createDataFrame([*((i, "x", x) for i, x, _ in made), *((i, "y", y) for i, _, y in made)], "i long, side string, norm string")
+    signs = rows.select("i", "side", F.length("norm").alias("len"), *line_dedup._letters(F.col("norm")))
+    x, y = signs.filter("side = 'x'").alias("x"), signs.filter("side = 'y'").alias("y")
+    got = dict(x.join(y, F.col("x.i") == F.col("y.i")).select("x.i", line_dedup._near("x", "y")).collect())
+    alike = {i for i, x, y in made if levenshtein(x, y, 0.2 * max(len(x), len(y))) <= 0.2 * max(len(x), len(y)) + 1e-9}
+    assert len(alike) >= 100 and all(got[i] for i in alike)
+    assert sum(not got[2 * i + 1] for i in range(200)) >= 100
