@@ -619,3 +619,29 @@ def test_lines_are_refused_by_letters(spark):
     alike = {i for i, x, y in made if levenshtein(x, y, 0.2 * max(len(x), len(y))) <= 0.2 * max(len(x), len(y)) + 1e-9}
     assert len(alike) >= 100 and all(got[i] for i in alike)
     assert sum(not got[2 * i + 1] for i in range(200)) >= 100
+
+
+def test_lines_are_told_without_the_whole_band(spark):
+    """Words in common and beginnings are never wrong about the edit distance, and tell nearly all pairs: copies with words changed, some
+    of them to words that the line has elsewhere, and lines of other words."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    r, made = random.Random(21), []
+    words = ["".join(r.choice("abcdefghijklmnoprstuvyzé") for _ in range(r.randint(2, 11))) for _ in range(900)]
+    for i in range(300):
+        x = r.choices(words, k=r.randint(20, 150))
+        y = r.choices(words, k=len(x) + r.randrange(3)) if i % 3 == 0 else list(x)
+        for _ in range(0 if i % 3 == 0 else 1 + int(len(x) * (0.05 if i % 3 == 1 else 0.3))):
+            at = r.randrange(len(y))
+            y[at : at + 1] = [[], [r.choice(words)], [r.choice(x)], [y[at], r.choice(x)]][r.randrange(4)]
+        made.append((i, " ".join(x), " ".join(y)))
+    pairs = spark.createDataFrame(made, "i int, x string, y string").withColumn("most", F.floor(0.2 * F.greatest(F.length("x"), F.length("y")) + 1e-9).cast("int"))
+    x, y, most = F.col("x"), F.col("y"), F.col("most")
+    split = F.struct(F.split(x, " ").alias("x"), F.split(y, " ").alias("y"))
+    told = pairs.select("i", "most", line_dedup._told(split, x, y, most).alias("aligned"), line_dedup._apart(x, y, most).alias("apart"), line_dedup._within(x, y, most).alias("within")).collect()
+    far = {i: levenshtein(x, y) for i, x, y in made}
+    assert all(t["within"] == (far[t["i"]] <= t["most"]) for t in told)
+    assert all(far[t["i"]] <= t["most"] for t in told if t["aligned"]) and all(far[t["i"]] > t["most"] for t in told if t["apart"])
+    assert sum(t["aligned"] for t in told if t["i"] % 3 == 1) >= 90 and sum(t["apart"] for t in told if t["i"] % 3 == 0) >= 90
