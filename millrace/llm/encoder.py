@@ -6,6 +6,8 @@ the chunks it has met. A text with an added token's string goes to the library w
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import os
 import re
@@ -13,10 +15,12 @@ import unicodedata
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 _BATCH_CHARS = 2_000_000
 _RUN = 256
-_loaded: dict[str, ChunkEncoder] = {}
+CHUNKS = 1_000_000
+_loaded: dict[tuple[str, int], ChunkEncoder] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,16 +29,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder for each Python worker and file."""
-    if path not in _loaded:
-        _loaded[path] = ChunkEncoder(path)
-    return _loaded[path]
+def encoder(path: str, max_chunks: int = CHUNKS) -> ChunkEncoder:
+    """One encoder for each Python worker, file and bound."""
+    if (path, max_chunks) not in _loaded:
+        _loaded[path, max_chunks] = ChunkEncoder(path, max_chunks)
+    return _loaded[path, max_chunks]
 
 
 def forget() -> None:
-    """Lets this worker's encoders and their chunks go."""
+    """Lets this worker's encoders and their chunks go, and gives what is free to the system."""
     _loaded.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class ChunkEncoder:
@@ -43,7 +50,7 @@ class ChunkEncoder:
     _MARKS = re.compile("[\x00\x01\x1c-\x1f]")
     _CHUNKS = re.compile(r"\s*\S+|\s+")
 
-    def __init__(self, path: str, max_chunks: int = 1_000_000):
+    def __init__(self, path: str, max_chunks: int = CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

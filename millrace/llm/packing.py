@@ -34,11 +34,12 @@ CAPACITY, GROUP_SIZE = 4096, 8_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(documents: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """The pieces of every document: PIECES, and ids (array of int) if asked for."""
+def pieces(documents: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False, max_chunks: int = encoder.CHUNKS) -> DataFrame:
+    """The pieces of every document: PIECES, and ids (array of int) if asked for. max_chunks: how many chunks of texts a worker holds, for its memory;
+    the ids are the same."""
 
     def rows(batches):
-        tokens, end = encoder.encoder(tokenizer), np.array([end_id], np.uint32)
+        tokens, end = encoder.encoder(tokenizer, max_chunks), np.array([end_id], np.uint32)
         for batch in batches:
             own = batch.column("doc_id").to_pylist()
             for a, b, flat, bounds in tokens.encode(batch.column("text").to_pylist()):

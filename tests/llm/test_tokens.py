@@ -168,3 +168,20 @@ def test_packing_lets_a_workers_chunks_go():
     got = packing._packed(3, pd.DataFrame({"length": [4000, 96, 5], "_group": 3}), 0, 4096)
     assert not encoder._loaded
     assert sorted(zip(got["length"], got["_open"], strict=True)) == [(5, True), (96, False), (4000, False)]
+
+
+def test_packing_holds_few_chunks(spark):
+    """A bound on the chunks that a worker holds, as the pipeline has one, changes no piece."""
+    import corpus_pipeline
+
+    from .conftest import prose
+
+    docs = spark.createDataFrame([(i, prose(i, 300)) for i in range(12)], "doc_id long, text string").coalesce(2)
+    path = encoder.tokenizer_path("word_bpe_49k.json")
+    got, want = (sorted(map(tuple, packing.pieces(docs, path, 1, **more).collect())) for more in ({"max_chunks": 50}, {}))
+    assert got == want and corpus_pipeline.CHUNKS < encoder.CHUNKS
+    held = encoder.encoder(path, 50)
+    for i in range(12):
+        list(held.encode([prose(i, 300)]))
+    assert held.used <= 50 + 300 and encoder.encoder(path) is not held
+    encoder.forget()
