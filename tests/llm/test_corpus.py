@@ -645,3 +645,24 @@ def test_lines_are_told_without_the_whole_band(spark):
     assert all(t["within"] == (far[t["i"]] <= t["most"]) for t in told)
     assert all(far[t["i"]] <= t["most"] for t in told if t["aligned"]) and all(far[t["i"]] > t["most"] for t in told if t["apart"])
     assert sum(t["aligned"] for t in told if t["i"] % 3 == 1) >= 90 and sum(t["apart"] for t in told if t["i"] % 3 == 0) >= 90
+
+
+def test_lines_of_large_blocks_of_unlike_lines(spark):
+    """Lines that have all words but one in common, a long one, so that the rounds of linking meet further members of one block: none of them goes,
+    near copies of some of them do, and a table that others read is never written anew."""
+    import random
+
+    from millrace.llm import shared
+
+    r = random.Random(31)
+    word = lambda n: "".join(r.choice("abcdefghijklmnoprstuvyz") for _ in range(n))
+    lines = [f"ship goes from east port {word(12)}" for _ in range(60)]
+    near = [x[:-1] + "q" for x in lines[:5]]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*lines, *near])], "doc_id long, text string")
+    got = {x["doc_id"]: x["n_removed"] for x in line_dedup.report(spark, docs).collect()}
+    assert got == {i: int(i >= 60) for i in range(65)}
+    scratch = shared.Scratch(spark, "test")
+    scratch.save(spark.range(3), "a")
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        scratch.save(spark.range(4), "a")
+    scratch.drop()
