@@ -45,6 +45,22 @@ def test_same_pairs_of_copies(spark, monkeypatch):
     assert plan.index("explode") < plan.index("Aggregate")  # no aggregate above the pairs
 
 
+def test_same_pairs_are_held_by_id(spark):
+    """The ids of one array and those of the other become rows in stages of their own: a compiled stage holds all that it makes of a row, which would be
+    the pairs of an array with an array."""
+    import re
+
+    df = spark.createDataFrame([(i, "Kuzey Yıldız", "Konya", "Meram", "Ata Cad. No: 1", "") for i in range(20)], REC)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = identity.same_pairs(df)
+        stages = re.findall(r"\*\((\d+)\) Generate (?:pos)?explode\(i[xy]", found._jdf.queryExecution().executedPlan().toString())
+        assert sorted(map(tuple, found.collect())) == [(i, j) for i in range(20) for j in range(i + 1, 20)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(stages) == len(set(stages)) == 2
+
+
 def test_firm_groups(spark):
     rows = [(1, "Koç Motor", "Konya", "Meram", "Ata Cad. No: 5", "05321234567"), (2, "Koç Motor", "Konya", "Meram", "", "5321234567"), (3, "Koç Motor", "Konya", "Meram", "Ata Cad. No: 9", "05321234567"), (4, None, None, None, None, None)]
     got = {r["id"]: r["temsilci"] for r in identity.firm_groups(spark.createDataFrame(rows, REC)).collect()}
