@@ -666,3 +666,30 @@ def test_lines_of_large_blocks_of_unlike_lines(spark):
     with pytest.raises(Exception, match="(?i)already.exists"):
         scratch.save(spark.range(4), "a")
     scratch.drop()
+
+
+def test_lines_are_refused_by_beginnings(spark):
+    """Pairs with an edit similarity of 0.8 are never refused by their beginnings, be the edits at the beginning or lengths unlike; lines of the same words in
+    another order, which have the same letters, nearly always are."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    r, made = random.Random(17), []
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzäöüß字") for _ in range(r.randint(2, 9))) for _ in range(400)]
+    for i in range(200):
+        w = r.choices(words, k=r.randint(4, 200))
+        x = " ".join(w)
+        y = list(x)
+        for _ in range(int(0.2 * len(x))):
+            at = r.randrange(len(y) if i % 4 < 2 else max(1, len(y) // 4))
+            y[at : at + 1] = [[], [r.choice("eqä字")], [y[at], r.choice("eqä字")]][r.randrange(3) if i % 2 else i // 4 % 3]
+        made += [(2 * i, x, "".join(y)), (2 * i + 1, x, " ".join(r.sample(w, len(w))))]
+    rows = spark.createDataFrame([*((i, "x", x) for i, x, _ in made), *((i, "y", y) for i, _, y in made)], "i long, side string, norm string")
+    signs = rows.select("i", "side", F.length("norm").alias("len"), line_dedup._head(F.col("norm")))
+    x, y = signs.filter("side = 'x'").alias("x"), signs.filter("side = 'y'").alias("y")
+    got = dict(x.join(y, F.col("x.i") == F.col("y.i")).select("x.i", line_dedup._begin_apart("x", "y")).collect())
+    far = {i: levenshtein(x, y) - 0.2 * max(len(x), len(y)) for i, x, y in made}
+    alike = {i for i in far if far[i] <= 1e-9}
+    assert len(alike) >= 100 and not any(got[i] for i in alike)
+    assert sum(got[i] for i in far if i % 2 and i not in alike) >= 0.8 * sum(i % 2 and i not in alike for i in far)
